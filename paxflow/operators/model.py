@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType
@@ -65,7 +65,8 @@ def build_pipeline(
     stages, columns = [], list(numeric)
     if text:
         indexed = [f"{c}__index" for c in text]
-        encoded = [f"{c}__mean" for c in text]
+        encoded = [f"{c}__encoded" for c in text]
+        numbers = [f"{c}__mean" for c in text]
         stages = [
             StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="keep"),
             TargetEncoder(
@@ -76,8 +77,14 @@ def build_pipeline(
                 handleInvalid="keep",
                 smoothing=20.0,
             ),
+            # The encoder marks its output as categories; the means are numbers to the trees.
+            SQLTransformer(
+                statement="SELECT *, "
+                + ", ".join(f"`{m}` + 0D AS `{n}`" for m, n in zip(encoded, numbers))
+                + " FROM __THIS__"
+            ),
         ]
-        columns += encoded
+        columns += numbers
     trees = GBTRegressor(
         labelCol="label",
         featuresCol="features",
