@@ -61,13 +61,9 @@ def floor_day(ts: Column) -> Column:
     return F.to_date(ts).cast("timestamp_ntz")
 
 
-def plus(ts: Column, interval: str) -> Column:
+def plus(ts: str, interval: str) -> Column:
     """Add an interval given as text; months and years clip to the month end."""
-    amount, unit = interval.split()
-    if unit.rstrip("s") in ("month", "year"):
-        months = int(amount) * (12 if unit.startswith("year") else 1)
-        return ts + F.make_ym_interval(F.lit(0), F.lit(months))
-    return ts + F.expr(f"INTERVAL '{int(amount)}' {unit.rstrip('s').upper()}")
+    return F.expr(f"{ts} + INTERVAL {interval}")
 
 
 def semester(ts: Column) -> Column:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from paxflow.config import Roles
 from paxflow.operators.calendar import date_features
-from paxflow.operators.lags import history_stats
-from paxflow.operators.rolling import momentum_features, rolling_stats
+from paxflow.operators.lags import history_columns, history_packed
+from paxflow.operators.rolling import (
+    attach,
+    momentum_features,
+    rolling_columns,
+    rolling_packed,
+)
 
 
 def matching_columns(df: DataFrame, pattern: str, base: str) -> list[str]:
@@ -18,11 +23,10 @@ def interaction_features(
     df: DataFrame, base: str, pattern: str = "_mean", suffix: str = "x"
 ) -> DataFrame:
     """``INT_{base}_{suffix}_{column}``: base times every column whose name has the pattern."""
-    weight = F.col(base).cast("double")
-    return df.select(
+    return df.selectExpr(
         "*",
         *[
-            (weight * F.col(c).cast("double")).alias(f"INT_{base}_{suffix}_{c}")
+            f"CAST(`{base}` AS DOUBLE) * CAST(`{c}` AS DOUBLE) AS `INT_{base}_{suffix}_{c}`"
             for c in matching_columns(df, pattern, base)
         ],
     )
@@ -32,11 +36,16 @@ def add_features(df: DataFrame, roles: Roles = Roles(), layout: str = "auto") ->
     """Date features, then lags, rolling, lagged windows and momentum overall and per group,
     then interactions with the seats.
 
-    Every family is computed on narrow rows and joined once, by row id.
+    Every family is computed on narrow rows and joined once, by row id, as arrays that become
+    columns in the last step.
     """
     out = date_features(df, roles)
-    for keys in [[], *[[g] for g in roles.groups]]:
-        out = out.join(history_stats(df, keys, roles), roles.row_id, "left")
-        out = out.join(rolling_stats(df, keys, roles=roles, layout=layout), roles.row_id, "left")
+    columns, groups = list(out.columns), [[], *[[g] for g in roles.groups]]
+    for keys in groups:
+        out = attach(out, history_packed(df, keys, roles), roles)
+        out = attach(out, rolling_packed(df, keys, layout=layout, roles=roles), roles)
+    unpacked = [c for keys in groups for c in (*history_columns(keys), *rolling_columns(keys))]
+    out = out.selectExpr(*[f"`{c}`" for c in columns], *unpacked)
+    for keys in groups:
         out = momentum_features(out, keys)
     return interaction_features(out, roles.seats)

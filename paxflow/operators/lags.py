@@ -7,11 +7,11 @@ one aggregation collects, per minute, what arrived. Rows with the same minute sh
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from paxflow.config import LAGGED_WINDOWS, LAGS, STATISTICS, Roles
 from paxflow.functions import dates as D
-from paxflow.operators.rolling import attach, group_name, narrow
+from paxflow.operators.rolling import attach, group_name, narrow, packed_name
 from paxflow.plans.sliding import VALUE, time_frames
 
 MINUTE = "_minute"
@@ -81,88 +81,73 @@ def history_table(
     stats=STATISTICS,
     roles: Roles = Roles(),
 ) -> DataFrame:
-    """One row per group and minute with all lag and lagged-window features.
+    """One row per group (keys as text, see ``narrow``) and minute that has any history: an array
+    per lag and per lagged window, see :func:`history_columns`.
 
     Several days may fall on one month end when months are added; the latest of them counts.
     """
     keys = list(keys)
-    means = minute_means(df, keys, roles)
+    minutes = minute_means(df, keys, roles)
+    means = minutes
     if windows:
-        means = centered_stats(means, keys, [days for _, days in windows.values()], stats)
-    minute = F.col(MINUTE)
-    blank = F.lit(None).cast("double")
-    slots = max(1, len(stats) if windows else 1)
-
-    def arrival(tag: str, at: Column, values: list[Column]) -> Column:
-        filled = values + [blank] * (slots - len(values))
-        return F.struct(
-            F.lit(tag).alias("_tag"),
-            at.alias("_at"),
-            minute.alias("_from"),
-            *[v.alias(f"_v{i}") for i, v in enumerate(filled)],
+        means = centered_stats(minutes, keys, [days for _, days in windows.values()], stats)
+
+    def arrival(tag: str, delay: str, values: list[str]) -> str:
+        return (
+            f"struct('{tag}' AS _tag, {MINUTE} + INTERVAL {delay} AS _at, {MINUTE} AS _from,"
+            f" array({', '.join(values)}) AS _values)"
         )
 
-    arrivals = [arrival("self", minute, [])]
-    arrivals += [arrival(n, D.plus(minute, by), [F.col(VALUE)]) for n, by in lags.items()]
+    arrivals = [arrival(n, by, [VALUE]) for n, by in lags.items()]
     arrivals += [
-        arrival(n, D.plus(minute, f"{delay} days"), [F.col(f"{days}_{s}") for s in stats])
+        arrival(n, f"{delay} days", [f"`{days}_{s}`" for s in stats])
         for n, (delay, days) in windows.items()
     ]
-    prefix = group_name(keys)
-    tag = F.col("_tag")
-    found = [
-        F.max_by(F.when(tag == n, F.col("_v0")), F.when(tag == n, F.col("_from"))).alias(
-            f"{prefix}_lag_{n}_raw"
+    # Most of what is sent forward meets no flight: the join drops it before the aggregation.
+    # Both follow the same keys, so the aggregation reads what the join has just sorted.
+    met = (
+        means.select(*keys, F.expr(f"inline(array({', '.join(arrivals)}))"))
+        .withColumnRenamed("_at", MINUTE)
+        .join(minutes.select(*keys, MINUTE).hint("merge"), [*keys, MINUTE], "left_semi")
+        .groupBy(*keys, MINUTE)
+        .agg(
+            *[
+                F.expr(
+                    f"max_by(_values, _from) FILTER (WHERE _tag = '{n}') AS `{packed_name(keys, n)}`"
+                )
+                for n in [*lags, *windows]
+            ]
         )
-        for n in lags
-    ]
-    # A fixed delay moves each minute to one other minute: at most one value arrives.
-    found += [
-        F.max(F.when(tag == n, F.col(f"_v{i}"))).alias(f"{prefix}_{n}_{s}")
+    )
+    return met
+
+
+def history_columns(
+    keys: list[str], lags=LAGS, windows=LAGGED_WINDOWS, stats=STATISTICS
+) -> list[str]:
+    """The packed arrays as columns."""
+    prefix = group_name(keys)
+    return [f"`{packed_name(keys, n)}`[0] AS `{prefix}_lag_{n}_raw`" for n in lags] + [
+        f"`{packed_name(keys, n)}`[{i}] AS `{prefix}_{n}_{s}`"
         for n in windows
         for i, s in enumerate(stats)
     ]
-    return (
-        means.select(*keys, F.inline(F.array(*arrivals)))
-        .groupBy(*keys, "_at")
-        .agg(F.max(tag == "self").alias("_here"), *found)
-        .where("_here")
-        .drop("_here")
-        .withColumnRenamed("_at", MINUTE)
-    )
 
 
-def history_stats(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
-    """Row id and the history features of the row's group and minute."""
-    table = history_table(df, keys, roles=roles, **options).select(
-        F.col(MINUTE).alias("_at"),
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[
-            c
-            for c in history_columns(
-                keys,
-                options.get("lags", LAGS),
-                options.get("windows", LAGGED_WINDOWS),
-                options.get("stats", STATISTICS),
-            )
-        ],
-    )
+def history_packed(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
+    """Row id and the history arrays of the row's group and minute."""
+    table = history_table(df, keys, roles=roles, **options)
     rows = narrow(df, keys, roles).select(
         roles.row_id, *keys, D.floor_minute(F.col(roles.time)).alias(MINUTE)
     )
-    match = F.col(MINUTE) == F.col("_at")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return rows.join(table, match, "left").drop(
-        MINUTE, "_at", *keys, *[f"_k_{k}" for k in keys]
-    )
+    # A sort-merge join keeps the table where its aggregation left it.
+    return rows.join(table.hint("merge"), [*keys, MINUTE], "left").drop(MINUTE, *keys)
 
 
-def history_columns(keys, lags, windows, stats) -> list[str]:
-    prefix = group_name(list(keys))
-    return [f"{prefix}_lag_{n}_raw" for n in lags] + [
-        f"{prefix}_{n}_{s}" for n in windows for s in stats
-    ]
+def history_stats(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
+    """Row id, ``{group}_lag_{name}_raw`` and ``{group}_{window}_{stat}``."""
+    packed = history_packed(df, keys, roles, **options)
+    return packed.selectExpr(roles.row_id, *history_columns(keys, **options))
 
 
 def lag_stats(df: DataFrame, keys: list[str], lags=LAGS, roles: Roles = Roles()) -> DataFrame:

@@ -16,21 +16,32 @@ def group_name(keys: list[str]) -> str:
 
 
 def narrow(df: DataFrame, keys: list[str], roles: Roles) -> DataFrame:
-    """Row id, time, target and the group keys as text: all that a window needs."""
+    """Row id, time, target and the group keys as text: all that a window needs.
+
+    A key is '=' and its text, a missing key is '': it is a group of its own and plain equality
+    joins it, so the joins keep the partitioning of the aggregations before them.
+    """
     return df.select(
         F.col(roles.row_id),
         D.local_time(df, roles.time).alias(roles.time),
         F.col(roles.target).cast("double").alias(VALUE),
-        *[F.col(k).cast("string").alias(k) for k in keys],
+        *[F.expr(f"coalesce(concat('=', CAST(`{k}` AS STRING)), '')").alias(k) for k in keys],
     )
 
 
 def attach(df: DataFrame, features: DataFrame, roles: Roles) -> DataFrame:
-    """Put row features next to their rows."""
-    return df.join(features, roles.row_id, "left")
+    """Put row features next to their rows.
+
+    Both sides have every row, so neither may be broadcast whatever the planner's estimate says.
+    """
+    return df.join(features.hint("merge"), roles.row_id, "left")
 
 
-def rolling_stats(
+def packed_name(keys: list[str], family: str) -> str:
+    return f"_{group_name(keys)}_{family}"
+
+
+def rolling_packed(
     df: DataFrame,
     keys: list[str],
     windows: dict[str, int] = ROLLING_ROWS,
@@ -40,10 +51,10 @@ def rolling_stats(
     block_rows: int | None = None,
     roles: Roles = Roles(),
 ) -> DataFrame:
-    """Row id and ``{group}_rolling_{window}_{stat}`` over the group's earlier rows.
+    """Row id and one array with all rolling statistics, see :func:`rolling_columns`.
 
-    A window of n covers the rows from n+gap-1 to ``gap`` before the current one, in (time, id)
-    order within the group.
+    An array is copied as a whole, so a row passes through shuffles and joins at the price of one
+    column instead of 25.
     """
     rows = narrow(df, keys, roles)
     order = [roles.time, roles.row_id]
@@ -61,13 +72,35 @@ def rolling_stats(
     framed = row_frames(sorted_rows, segment, keep, windows, gap, stats)
     if OWNED in keep:
         framed = framed.where(OWNED)
-    prefix = f"{group_name(keys)}_rolling"
     return framed.select(
         roles.row_id,
-        *[F.col(f"{w}_{s}").alias(f"{prefix}_{w}_{s}") for w in windows for s in stats],
+        F.array(*[f"{w}_{s}" for w in windows for s in stats]).alias(packed_name(keys, "rolling")),
     )
 
 
+def rolling_columns(keys: list[str], windows=ROLLING_ROWS, stats=STATISTICS) -> list[str]:
+    """The packed array as columns ``{group}_rolling_{window}_{stat}``."""
+    names = [f"{group_name(keys)}_rolling_{w}_{s}" for w in windows for s in stats]
+    return [f"`{packed_name(keys, 'rolling')}`[{i}] AS `{n}`" for i, n in enumerate(names)]
+
+
+def rolling_stats(
+    df: DataFrame,
+    keys: list[str],
+    windows: dict[str, int] = ROLLING_ROWS,
+    stats=STATISTICS,
+    roles: Roles = Roles(),
+    **options,
+) -> DataFrame:
+    """Row id and ``{group}_rolling_{window}_{stat}`` over the group's earlier rows.
+
+    A window of n covers the rows from n+gap-1 to ``gap`` (2) before the current one, in (time, id)
+    order within the group. ``layout`` says how the rows are spread, see ``plans.blocks``.
+    """
+    packed = rolling_packed(df, keys, windows, stats, roles=roles, **options)
+    return packed.selectExpr(roles.row_id, *rolling_columns(keys, windows, stats))
+
+
 def rolling_features(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
     return attach(df, rolling_stats(df, keys, roles=roles, **options), roles)
 

@@ -32,12 +32,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     Scaled and rounded to whole numbers, which every engine does alike; adding 0 drops the sign of
     a negative zero.
     """
-    scale = F.lit(10.0**digits)
-    return df.select(
+    scale = f"{10**digits}D"
+    return df.selectExpr(
         *[
-            (F.rint(F.col(f.name) * scale) / scale + F.lit(0.0)).alias(f.name)
+            f"rint(`{f.name}` * {scale}) / {scale} + 0D AS `{f.name}`"
             if isinstance(f.dataType, (DoubleType, FloatType))
-            else F.col(f.name)
+            else f"`{f.name}`"
             for f in df.schema.fields
         ]
     )
