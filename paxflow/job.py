@@ -95,7 +95,7 @@ def run(
             config.boosting,
             roles,
         )
-        scored = predict(model, test, target, f"Pred{target}", roles)
+        scored = predict(model, test, f"Pred{target}")
         outputs.append(scored.select(roles.row_id, roles.flight, roles.time, f"Pred{target}"))
 
     flights = merge_predictions(*outputs, roles)

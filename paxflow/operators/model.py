@@ -1,18 +1,22 @@
-"""Boosted-tree forecasts with Spark ML."""
+"""Boosted-tree forecasts with Spark ML.
+
+Text columns become smoothed target means. The means are a table, fitted by aggregation and applied
+by joins, so no list of categories passes through the driver.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from paxflow.config import Roles
 from paxflow.functions.numbers import whole_count
+from paxflow.plans.stage import staged
+from paxflow.sources.tables import stored, write_parquet
 
 # Below every count, ratio and sine, so a tree can set missing values apart.
 MISSING = -1.0e6
@@ -21,7 +25,7 @@ MISSING = -1.0e6
 @dataclass(frozen=True)
 class Boosting:
     """Settings of the trees. One boosting round is a chain of Spark jobs, so rounds are few and
-    the step is large; 8 levels give about as many leaves as the best-known setting of 255."""
+    the step is large; 8 levels give about 255 leaves."""
 
     rounds: int = 50
     step: float = 0.1
@@ -31,60 +35,142 @@ class Boosting:
     seed: int = 42
     tolerance: float = 0.001
     max_bins: int = 64
+    smoothing: float = 20.0
+
+
+@dataclass(frozen=True)
+class Forecaster:
+    """Trees, their inputs, and the means table (source, category, mean) of the text inputs.
+
+    The row with an empty source holds the overall mean, for categories unseen in training.
+    """
+
+    trees: GBTRegressionModel
+    means: DataFrame
+    numeric: tuple[str, ...]
+    text: tuple[str, ...]
+
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.numeric, *self.text]
+
+    def save(self, path: str) -> None:
+        write_parquet(self.means, f"{path}/means")
+        inputs = [(i, c, c in self.text) for i, c in enumerate(self.inputs)]
+        session = self.means.sparkSession
+        write_parquet(
+            session.createDataFrame(inputs, "place INT, name STRING, is_text BOOLEAN"),
+            f"{path}/inputs",
+        )
+        self.trees.write().overwrite().save(f"{path}/trees")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "Forecaster | None":
+        """The stored forecaster, or None where there is none."""
+        inputs = stored(spark, f"{path}/inputs")
+        if inputs is None:
+            return None
+        listed = inputs.orderBy("place").collect()  # one row per model input
+        return cls(
+            GBTRegressionModel.load(f"{path}/trees"),
+            spark.read.parquet(f"{path}/means"),
+            tuple(r.name for r in listed if not r.is_text),
+            tuple(r.name for r in listed if r.is_text),
+        )
 
 
-def feature_columns(df: DataFrame, target: str, leave_out: list[str]) -> tuple[list, list]:
+def feature_columns(df: DataFrame, leave_out: list[str]) -> tuple[list[str], list[str]]:
     """(numeric, text) columns a model may use. Times are left out: date features stand for them."""
-    numeric, text = [], []
-    for field in df.schema.fields:
-        if field.name in (target, *leave_out):
-            continue
-        if isinstance(field.dataType, NumericType):
-            numeric.append(field.name)
-        elif isinstance(field.dataType, StringType):
-            text.append(field.name)
-    return numeric, text
-
-
-def prepared(df: DataFrame, numeric: list[str], text: list[str], target: str) -> DataFrame:
-    """Features without gaps and the target as ``label``."""
-    label = [F.col(target).cast("double").alias("label")] if target in df.columns else []
-    return df.select(
-        *[c for c in df.columns if c not in numeric and c not in text],
-        *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in numeric],
-        *[F.coalesce(c, F.lit("")).alias(c) for c in text],
-        *label,
+    kinds = [(f.name, f.dataType) for f in df.schema.fields if f.name not in leave_out]
+    return (
+        [name for name, kind in kinds if isinstance(kind, NumericType)],
+        [name for name, kind in kinds if isinstance(kind, StringType)],
     )
 
 
-def build_pipeline(
-    numeric: list[str], text: list[str], settings: Boosting, validation: str | None
-) -> Pipeline:
-    """Text is indexed, then replaced by smoothed target means, so no bin count grows with the
-    number of categories; categories unseen in training take the overall mean."""
-    stages, columns = [], list(numeric)
-    if text:
-        indexed = [f"{c}__index" for c in text]
-        encoded = [f"{c}__encoded" for c in text]
-        numbers = [f"{c}__mean" for c in text]
-        stages = [
-            StringIndexer(inputCols=text, outputCols=indexed, handleInvalid="keep"),
-            TargetEncoder(
-                inputCols=indexed,
-                outputCols=encoded,
-                labelCol="label",
-                targetType="continuous",
-                handleInvalid="keep",
-                smoothing=20.0,
-            ),
-            # The encoder marks its output as categories; the means are numbers to the trees.
-            SQLTransformer(
-                statement="SELECT *, "
-                + ", ".join(f"`{m}` + 0D AS `{n}`" for m, n in zip(encoded, numbers))
-                + " FROM __THIS__"
+def target_means(
+    train: DataFrame, text: list[str], target: str, smoothing: float = 20.0
+) -> DataFrame:
+    """(source, category, mean): each category's mean, drawn to the overall mean where rows are few."""
+    y = F.col(target).cast("double")
+    overall = train.select(F.avg(y)).first()[0]
+    per_category = (
+        train.select(
+            y.alias("_y"),
+            F.inline(
+                F.array(
+                    F.struct(F.lit("").alias("source"), F.lit("").alias("category")),
+                    *[
+                        F.struct(
+                            F.lit(c).alias("source"), F.coalesce(c, F.lit("")).alias("category")
+                        )
+                        for c in text
+                    ],
+                )
             ),
-        ]
-        columns += numbers
+        )
+        .groupBy("source", "category")
+        .agg(F.sum("_y").alias("_sum"), F.count("_y").alias("_n"))
+    )
+    return per_category.select(
+        "source",
+        "category",
+        (
+            (F.col("_sum") + F.lit(smoothing) * F.lit(overall))
+            / (F.col("_n") + F.lit(smoothing))
+        ).alias("mean"),
+    )
+
+
+def with_inputs(
+    df: DataFrame, means: DataFrame, numeric: list[str], text: list[str]
+) -> DataFrame:
+    """Adds ``features``: numbers with gaps marked, texts as means.
+
+    Each text is looked up by an equi join; Spark broadcasts a lookup that is small and shuffles
+    one that is not.
+    """
+    overall = means.where(F.col("source") == "").select("mean").first()[0]
+    out = df
+    for name in text:
+        lookup = means.where(F.col("source") == name).select(
+            F.col("category").alias("_category"), F.col("mean").alias(f"_mean_{name}")
+        )
+        out = out.join(
+            lookup, F.coalesce(name, F.lit("")) == F.col("_category"), "left"
+        ).drop("_category")
+    ready = out.select(
+        *df.columns,
+        *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_in_{c}") for c in numeric],
+        *[F.coalesce(f"_mean_{c}", F.lit(overall)).alias(f"_in_{c}") for c in text],
+    )
+    inputs = [f"_in_{c}" for c in (*numeric, *text)]
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(ready)
+    return assembled.drop(*inputs)
+
+
+def fit(
+    train: DataFrame,
+    valid: DataFrame | None,
+    target: str,
+    settings: Boosting = Boosting(),
+    roles: Roles = Roles(),
+) -> Forecaster:
+    """Train on ``train``; stop early on the rows of ``valid``."""
+    numeric, text = feature_columns(train, [roles.row_id, target])
+    known = train.where(F.col(target).isNotNull())
+    # Staged: every boosting round reads these again.
+    means = staged(target_means(known, text, target, settings.smoothing), "target-means")
+    rows = known.withColumn("is_validation", F.lit(False))
+    if valid is not None:
+        held = valid.where(F.col(target).isNotNull()).withColumn("is_validation", F.lit(True))
+        rows = rows.unionByName(held)
+    table = staged(
+        with_inputs(rows, means, numeric, text).select(
+            "features", F.col(target).cast("double").alias("label"), "is_validation"
+        ),
+        "training-rows",
+    )
     trees = GBTRegressor(
         labelCol="label",
         featuresCol="features",
@@ -98,30 +184,9 @@ def build_pipeline(
         maxBins=settings.max_bins,
         validationTol=settings.tolerance,
     )
-    if validation:
-        trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[*stages, VectorAssembler(inputCols=columns, outputCol="features"), trees])
-
-
-def fit(
-    train: DataFrame,
-    valid: DataFrame | None,
-    target: str,
-    settings: Boosting = Boosting(),
-    roles: Roles = Roles(),
-) -> PipelineModel:
-    """Train on ``train``; stop early on the rows of ``valid``."""
-    numeric, text = feature_columns(train, target, [roles.row_id])
-    rows = train.where(F.col(target).isNotNull()).withColumn("is_validation", F.lit(False))
     if valid is not None:
-        held = valid.where(F.col(target).isNotNull()).withColumn("is_validation", F.lit(True))
-        rows = rows.unionByName(held)
-    # The encoders see the training rows only.
-    pipeline = build_pipeline(numeric, text, settings, "is_validation" if valid is not None else None)
-    table = prepared(rows, numeric, text, target)
-    encoders = Pipeline(stages=pipeline.getStages()[:-1]).fit(table.where(~F.col("is_validation")))
-    trees = pipeline.getStages()[-1].fit(encoders.transform(table))
-    return PipelineModel([*encoders.stages, trees])
+        trees = trees.setValidationIndicatorCol("is_validation")
+    return Forecaster(trees.fit(table), means, tuple(numeric), tuple(text))
 
 
 def fit_or_load(
@@ -132,41 +197,32 @@ def fit_or_load(
     force: bool = False,
     settings: Boosting = Boosting(),
     roles: Roles = Roles(),
-) -> PipelineModel:
-    """The model stored at ``path``; trains and stores it if there is none or ``force`` is set."""
-    if not force:
-        try:
-            return PipelineModel.load(path)
-        except Py4JJavaError as missing:
-            if "InvalidInputException" not in str(missing) and "FileNotFound" not in str(missing):
-                raise
-    model = fit(train, valid, target, settings, roles)
-    model.write().overwrite().save(path)
-    return model
-
-
-def predict(
-    model: PipelineModel, df: DataFrame, target: str, name: str, roles: Roles = Roles()
-) -> DataFrame:
+) -> Forecaster:
+    """The forecaster stored at ``path``; trains and stores it if there is none or ``force`` is set."""
+    saved = None if force else Forecaster.load(train.sparkSession, path)
+    if saved is not None:
+        return saved
+    fitted = fit(train, valid, target, settings, roles)
+    fitted.save(path)
+    return fitted
+
+
+def predict(model: Forecaster, df: DataFrame, name: str) -> DataFrame:
     """Rows with the rounded, non-negative prediction in ``name``."""
-    numeric, text = feature_columns(df, target, [roles.row_id])
-    scored = model.transform(
-        df.select(
-            *[F.col(c).alias(f"_row_{c}") for c in df.columns],
-            *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(c) for c in numeric],
-            *[F.coalesce(c, F.lit("")).alias(c) for c in text],
-        )
-    )
-    return scored.select(
-        *[F.col(f"_row_{c}").alias(c) for c in df.columns],
-        whole_count(F.col("prediction")).alias(name),
+    ready = with_inputs(df, model.means, list(model.numeric), list(model.text))
+    return model.trees.transform(ready).select(
+        *df.columns, whole_count(F.col("prediction")).alias(name)
     )
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
+def feature_importance(model: Forecaster) -> DataFrame:
     """(feature, importance), most important first; one row per model input."""
-    assembler, trees = model.stages[-2], model.stages[-1]
-    weights = trees.featureImportances.toArray().tolist()
-    rows = list(zip(assembler.getInputCols(), weights))
-    table = SparkSession.active().createDataFrame(rows, "feature STRING, importance DOUBLE")
+    weights = model.trees.featureImportances.toArray().tolist()
+    table = model.means.sparkSession.createDataFrame(
+        list(zip(model.inputs, weights)), "feature STRING, importance DOUBLE"
+    )
     return table.orderBy(F.desc("importance"), "feature")
+
+
+def top_features(model: Forecaster, n: int = 20) -> DataFrame:
+    return feature_importance(model).limit(n)

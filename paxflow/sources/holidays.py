@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_PERIOD = "array<struct<startDate:string,endDate:string>>"
 _RECORDS = (
     "struct<total_count:int,results:array<struct<description:string,start_date:string,"
     "end_date:string,annee_scolaire:string,population:string,zones:string,location:string>>>"
@@ -18,19 +17,18 @@ def foreign_periods(payloads: DataFrame, text: str = "value") -> DataFrame:
     no objects or lack a date are left out.
     """
     raw = F.trim(F.col(text))
-    # Entries are taken as text first, so that one malformed entry does not void its list.
-    entries = F.coalesce(
-        F.when(raw.startswith("["), F.from_json(raw, "array<string>")),
-        F.from_json(raw, "struct<holidays:array<string>>")["holidays"],
-    )
+    # A bare list is put into an object, so that each text is parsed once. Entries are taken as
+    # text first: one malformed entry does not void its list.
+    wrapped = F.when(raw.startswith("["), F.concat(F.lit('{"holidays":'), raw, F.lit("}")))
+    entries = F.from_json(
+        F.coalesce(wrapped, raw), "struct<holidays:array<string>>"
+    )["holidays"]
     item = F.from_json("_entry", "struct<startDate:string,endDate:string>")
+    # As a generator the entry is parsed once; the filter below cannot repeat it.
     return (
         payloads.select("country", F.explode(entries).alias("_entry"))
-        .select(
-            "country",
-            day_of(item["startDate"]).alias("start"),
-            day_of(item["endDate"]).alias("end"),
-        )
+        .select("country", F.inline(F.array(item)))
+        .select("country", day_of(F.col("startDate")).alias("start"), day_of(F.col("endDate")).alias("end"))
         .where(F.col("start").isNotNull() & F.col("end").isNotNull())
     )
 

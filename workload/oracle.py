@@ -627,3 +627,15 @@ SELECT id, ts, CASE WHEN ts < TIMESTAMP '1999-01-01' THEN 'train'
                     WHEN ts <= TIMESTAMP '2001-01-01' THEN 'test' END AS split
 FROM {ORDERS}
 """
+
+ORACLE["target_means"] = f"""
+WITH l AS (SELECT pax, unnest([
+               struct_pack(source := '', category := ''),
+               struct_pack(source := 'terminal', category := terminal),
+               struct_pack(source := 'flight', category := flight),
+               struct_pack(source := 'direction', category := direction)]) AS s FROM {ORDERS}),
+o AS (SELECT avg(pax) AS overall FROM {ORDERS})
+SELECT s.source AS source, s.category AS category,
+       {r6('(sum(pax) + 20.0::DOUBLE * any_value(overall)) / (count(*) + 20.0::DOUBLE)', 'mean')}
+FROM l CROSS JOIN o GROUP BY s.source, s.category
+"""

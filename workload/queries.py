@@ -444,10 +444,16 @@ def _fitted(spark, sf_dir):
     return M.fit(train, valid, "pax", BOOSTING, ROLES), test
 
 
+@query
+def target_means(spark, sf_dir):
+    rows = V.orders(spark, sf_dir)
+    return rounded(M.target_means(rows, ["terminal", "flight", "direction"], "pax"))
+
+
 @query
 def gbt_forecast(spark, sf_dir):
     model, test = _fitted(spark, sf_dir)
-    return M.predict(model, test, "pax", "pred_pax", ROLES).select("id", "ts", "pax", "pred_pax")
+    return M.predict(model, test, "pred_pax").select("id", "ts", "pax", "pred_pax")
 
 
 @query
