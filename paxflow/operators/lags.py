@@ -140,8 +140,15 @@ def history_packed(df: DataFrame, keys: list[str], roles: Roles = Roles(), **opt
     rows = narrow(df, keys, roles).select(
         roles.row_id, *keys, D.floor_minute(F.col(roles.time)).alias(MINUTE)
     )
-    # A sort-merge join keeps the table where its aggregation left it.
-    return rows.join(table.hint("merge"), [*keys, MINUTE], "left").drop(MINUTE, *keys)
+    # Rows that share a minute share a key, and one minute may hold very many. With a key that the
+    # aggregation did not have, both sides are shuffled for the join, and adaptive execution can
+    # then split such a partition of rows.
+    spread = F.xxhash64(*keys, MINUTE).alias("_spread")
+    return (
+        rows.select("*", spread)
+        .join(table.select("*", spread).hint("merge"), ["_spread", *keys, MINUTE], "left")
+        .drop("_spread", MINUTE, *keys)
+    )
 
 
 def history_stats(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from paxflow.config import CITY_DISTRICT, LAGGED_WINDOWS, LAGS, MOMENTUM_PAIRS, ROLLING_ROWS
 from paxflow.config import CYCLES
+from workload.views import digits
 
 ORACLE: dict[str, str] = {}
 
@@ -36,8 +37,10 @@ PREDICTED = """(
     FROM events)"""
 
 
-def r6(expression: str, name: str) -> str:
-    return f"round_even(CAST({expression} AS DOUBLE) * 1e6, 0) / 1e6 + 0.0 AS {name}"
+def r(expression: str, name: str) -> str:
+    """Rounded like ``views.rounded``."""
+    scale = f"1e{digits(name)}"
+    return f"round_even(CAST({expression} AS DOUBLE) * {scale}, 0) / {scale} + 0.0 AS {name}"
 
 
 def partition(keys: list[str]) -> str:
@@ -63,7 +66,7 @@ def date_columns() -> str:
     waves = []
     for part, period in CYCLES.items():
         angle = f"2 * pi() * {_PARTS[part]} / {period}"
-        waves += [r6(f"sin({angle})", f"sin_{part}"), r6(f"cos({angle})", f"cos_{part}")]
+        waves += [r(f"sin({angle})", f"sin_{part}"), r(f"cos({angle})", f"cos_{part}")]
     return ", ".join(
         [
             "CAST(year(ts) AS INT) AS Year",
@@ -138,7 +141,7 @@ def history_names(keys: list[str], lags: dict, windows: dict) -> list[str]:
 
 
 def history_query(view: str, keys: list[str], lags: dict, windows: dict) -> str:
-    cells = ", ".join(r6(c, c) for c in history_names(keys, lags, windows))
+    cells = ", ".join(r(c, c) for c in history_names(keys, lags, windows))
     return f"WITH {', '.join(history(view, keys, lags, windows))} SELECT id, {cells} FROM h"
 
 
@@ -172,14 +175,14 @@ def rolling_names(keys: list[str]) -> list[str]:
 
 
 def rolling_query(view: str, keys: list[str]) -> str:
-    cells = ", ".join(r6(c, c) for c in rolling_names(keys))
+    cells = ", ".join(r(c, c) for c in rolling_names(keys))
     return f"SELECT id, {cells} FROM ({rolling(view, keys)})"
 
 
 def momentum_cells(keys: list[str]) -> list[str]:
     p = prefix(keys)
     return [
-        r6(f"{p}_rolling_{a}_mean / nullif({p}_rolling_{b}_mean, 0)", f"{p}_momentum_{a}_vs_{b}")
+        r(f"{p}_rolling_{a}_mean / nullif({p}_rolling_{b}_mean, 0)", f"{p}_momentum_{a}_vs_{b}")
         for a, b in MOMENTUM_PAIRS
     ]
 
@@ -206,7 +209,7 @@ def trend_query(view: str, keys: list[str], short: int, long: int) -> str:
         )
         cells += [f"{f.format(v='v')} {frame} AS {name}_{s}" for s, f in STATS.items()]
     out = [
-        r6(
+        r(
             f"CASE WHEN l_{s} > 0 THEN s_{s} / l_{s} ELSE 1.0 END",
             f"{prefix(keys)}_trend_{short}D_vs_{long}D_{s}",
         )
@@ -227,8 +230,8 @@ ORACLE["trend_global"] = trend_query(ORDERS, [], 7, 30)
 ORACLE["interactions"] = f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS seats, p_retailprice AS price_mean,
        p_size AS size_mean, l_tax AS tax_max,
-       {r6('l_quantity * p_retailprice', 'INT_seats_x_price_mean')},
-       {r6('l_quantity * p_size', 'INT_seats_x_size_mean')}
+       {r('l_quantity * p_retailprice', 'INT_seats_x_price_mean')},
+       {r('l_quantity * p_size', 'INT_seats_x_size_mean')}
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
@@ -240,8 +243,8 @@ def feature_set_query() -> str:
         ctes.append(f"r{i} AS ({rolling(ORDERS, keys)})")
         joins += [f"JOIN h{i} ON o.id = h{i}.id", f"JOIN r{i} ON o.id = r{i}.id"]
         names = history_names(keys, LAGS, LAGGED_WINDOWS) + rolling_names(keys)
-        cells += [r6(c, c) for c in names] + momentum_cells(keys)
-        cells += [r6(f"seats * {c}", f"INT_seats_x_{c}") for c in names if "_mean" in c]
+        cells += [r(c, c) for c in names] + momentum_cells(keys)
+        cells += [r(f"seats * {c}", f"INT_seats_x_{c}") for c in names if "_mean" in c]
     return (
         f"WITH {', '.join(ctes)} SELECT o.id, ts, terminal, flight, direction, pax, seats,"
         f" {date_columns()}, {', '.join(cells)} FROM {ORDERS} o {' '.join(joins)}"
@@ -303,13 +306,13 @@ COMPARED = f"""(
 _ERRORS = ", ".join(
     [
         "count(*) AS rows",
-        r6("sum(pax)", "total_actual"),
-        r6("sum(pred_pax)", "total_predicted"),
-        r6("sum(pred_pax) - sum(pax)", "difference"),
-        r6("sum(pred_pax)::DOUBLE / nullif(sum(pax), 0) * 100", "ratio_percent"),
-        r6("avg(abs(pax - pred_pax))", "mae"),
-        r6("sqrt(avg((pax - pred_pax) * (pax - pred_pax)))", "rmse"),
-        r6(
+        r("sum(pax)", "total_actual"),
+        r("sum(pred_pax)", "total_predicted"),
+        r("sum(pred_pax) - sum(pax)", "difference"),
+        r("sum(pred_pax)::DOUBLE / nullif(sum(pax), 0) * 100", "ratio_percent"),
+        r("avg(abs(pax - pred_pax))", "mae"),
+        r("sqrt(avg((pax - pred_pax) * (pax - pred_pax)))", "rmse"),
+        r(
             "1 - sum((pax - pred_pax) * (pax - pred_pax))::DOUBLE / nullif(var_pop(pax) * count(*), 0)",
             "r2",
         ),
@@ -325,8 +328,8 @@ def level_cells(actual: str, predicted: str) -> str:
         [
             f"CAST({a} AS BIGINT) AS {actual}",
             f"CAST({p} AS BIGINT) AS {predicted}",
-            r6(f"abs({p} - {a})::DOUBLE / nullif({a}, 0)", "WAPE"),
-            r6(f"{p}::DOUBLE / nullif({a}, 0) * 100", "Ratio_Pred"),
+            r(f"abs({p} - {a})::DOUBLE / nullif({a}, 0)", "WAPE"),
+            r(f"{p}::DOUBLE / nullif({a}, 0) * 100", "Ratio_Pred"),
         ]
     )
 
@@ -392,10 +395,10 @@ ORACLE["staffing_plan"] = f"WITH {plan([])} SELECT * FROM plan"
 ORACLE["staffing_plan_by_terminal"] = f"WITH {plan(['terminal'])} SELECT * FROM plan"
 ORACLE["staffing_totals"] = f"""
 WITH {plan([])}
-SELECT day, {r6('sum(Staff_Starting) / 8', 'teams')},
+SELECT day, {r('sum(Staff_Starting) / 8', 'teams')},
        CAST(sum(Total_Staff_Present) AS BIGINT) AS paid_hours,
        max(Total_Staff_Present) AS peak_staff, CAST(max(Lanes_Open) * 200 AS INT) AS max_capacity,
-       {r6('sum(Total_Staff_Present) * 25', 'cost')}
+       {r('sum(Total_Staff_Present) * 25', 'cost')}
 FROM plan GROUP BY day
 """
 _MONEY = "lpad(format('{{:,}}', CAST({c} AS BIGINT)) || '.00', CAST(greatest(8, length(format('{{:,}}', CAST({c} AS BIGINT))) + 3) AS INT), ' ') || ' $'"
@@ -636,6 +639,6 @@ WITH l AS (SELECT pax, unnest([
                struct_pack(source := 'direction', category := direction)]) AS s FROM {ORDERS}),
 o AS (SELECT avg(pax) AS overall FROM {ORDERS})
 SELECT s.source AS source, s.category AS category,
-       {r6('(sum(pax) + 20.0::DOUBLE * any_value(overall)) / (count(*) + 20.0::DOUBLE)', 'mean')}
+       {r('(sum(pax) + 20.0::DOUBLE * any_value(overall)) / (count(*) + 20.0::DOUBLE)', 'mean')}
 FROM l CROSS JOIN o GROUP BY s.source, s.category
 """
