@@ -180,21 +180,21 @@ def calendar_long(wide: DataFrame, zone: str = "holiday_zone") -> DataFrame:
     return wide.unpivot("day", zones, zone, SCHOOL)
 
 
-def district_table(spark: SparkSession, districts: dict[str, str] = CITY_DISTRICT) -> DataFrame:
-    return spark.createDataFrame(list(districts.items()), "_city STRING, district STRING")
+def district(city: Column, districts: dict[str, str] = CITY_DISTRICT) -> Column:
+    """District of a cleaned city name; the name itself if it is not listed."""
+    listed = F.create_map(*[F.lit(text) for pair in districts.items() for text in pair])
+    return F.coalesce(F.try_element_at(listed, city), city)
 
 
 def with_school_zone(
     df: DataFrame, lookup: DataFrame, city: str = "city", name: str = "holiday_zone"
 ) -> DataFrame:
-    """School zone of a city: cleaned name -> district (itself if unlisted) -> zone."""
-    districts = district_table(df.sparkSession)
+    """School zone of a city: cleaned name -> district -> zone."""
+    zones = lookup.select(F.col("target").alias("_target"), F.col("zone").alias(name))
     return (
-        df.withColumn("_city", city_name(F.col(city)))
-        .join(districts, "_city", "left")
-        .withColumn("target", F.coalesce("district", "_city"))
-        .join(lookup.select("target", F.col("zone").alias(name)), "target", "left")
-        .drop("_city", "district", "target")
+        df.withColumn("_target", district(city_name(F.col(city))))
+        .join(zones, "_target", "left")
+        .drop("_target")
     )
 
 
@@ -242,11 +242,27 @@ def holiday_flags(
     known = with_public_holidays(
         resolve_airports(seen, airports, "AirportDeparture"), public_holidays
     )
-    france, abroad = country_split(known)
-    return (
-        school_flags_france(france, french_periods, lookup)
-        .unionByName(school_flags_abroad(abroad, foreign_periods), allowMissingColumns=True)
-        .select("day", "AirportDeparture", "country", PUBLIC, SCHOOL)
+    # One pass for both branches: a row has either a zone or a foreign country to look up.
+    french = is_french(F.col("country"))
+    placed = with_school_zone(known, lookup).select(
+        *known.columns,
+        F.when(french, zone_key(F.col("holiday_zone"))).alias("_zone"),
+        F.when(~french, F.col("country")).alias("_abroad"),
+    )
+    zone_days = period_days(
+        french_periods.withColumn("_zone", zone_key(F.col("zone"))), "_zone"
+    )
+    country_days = period_days(
+        foreign_periods.withColumnRenamed("country", "_abroad"), "_abroad"
+    )
+    flagged = flag_days(placed, zone_days, ["_zone", "day"], "_in_zone")
+    flagged = flag_days(flagged, country_days, ["_abroad", "day"], "_in_country")
+    return flagged.select(
+        "day",
+        "AirportDeparture",
+        "country",
+        PUBLIC,
+        F.greatest("_in_zone", "_in_country").alias(SCHOOL),
     )
 
 

@@ -380,9 +380,9 @@ def city_clean(spark, sf_dir):
 
 @query
 def city_zone(spark, sf_dir):
-    lookup = spark.createDataFrame(
-        [("Rennes", "Zone B"), ("Poitiers", "Zone A"), ("Lyon", "Zone A"), ("Large", "Zone C")],
-        "target STRING, zone STRING",
+    lookup = spark.sql(
+        "SELECT * FROM VALUES ('Rennes', 'Zone B'), ('Poitiers', 'Zone A'), ('Lyon', 'Zone A'),"
+        " ('Large', 'Zone C') AS t(target, zone)"
     )
     return holidays.with_school_zone(V.cities(spark, sf_dir), lookup)
 
@@ -406,9 +406,9 @@ def holiday_flags(spark, sf_dir):
     records = V.order_periods(spark, sf_dir, "zone").withColumn(
         "zone", F.when(F.col("zone") < "3", "Zone A").otherwise("Zone B")
     )
-    lookup = spark.createDataFrame(
-        [("Rennes", "Zone_B"), ("Lyon", "Zone A"), ("Guadeloupe", "Guadeloupe")],
-        "target STRING, zone STRING",
+    lookup = spark.sql(
+        "SELECT * FROM VALUES ('Rennes', 'Zone_B'), ('Lyon', 'Zone A'), ('Guadeloupe', 'Guadeloupe')"
+        " AS t(target, zone)"
     )
     movements = V.nation_orders(spark, sf_dir).select("id", "ts", "direction", "previous")
     flags = holidays.holiday_flags(
