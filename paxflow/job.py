@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paxflow.config import Roles
-from paxflow.operators.features import add_features
+from paxflow.operators.features import add_features, single_precision
 from paxflow.operators.holidays import join_holidays
 from paxflow.operators.hourly import hourly_totals
 from paxflow.operators.metrics import merge_predictions
@@ -62,16 +62,14 @@ def load_or_prepare(
 
     return (
         reuse_or_build(
-            spark, f"{data_dir}/passengers", lambda: preprocess(raw(), roles)[0]
+            spark,
+            f"{data_dir}/passengers",
+            lambda: single_precision(preprocess(raw(), roles)[0]),
         ),
-        reuse_or_build(spark, f"{data_dir}/reduced", lambda: preprocess_reduced(raw(), roles)),
+        reuse_or_build(spark, f"{data_dir}/reduced", lambda: target_sets(raw(), roles)[1]),
     )
 
 
-def preprocess_reduced(movements: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    return target_sets(movements, roles)[1]
-
-
 def run(
     spark: SparkSession, config: RunConfig, ingest: Callable[[], DataFrame]
 ) -> tuple[DataFrame, DataFrame]:

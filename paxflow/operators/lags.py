@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from paxflow.config import LAGGED_WINDOWS, LAGS, STATISTICS, Roles
 from paxflow.functions import dates as D
-from paxflow.operators.rolling import attach, group_name, narrow, packed_name
+from paxflow.operators.rolling import attach, group_name, narrow, packed_name, spread_join
 from paxflow.plans.sliding import VALUE, time_frames
 
 MINUTE = "_minute"
@@ -140,15 +140,7 @@ def history_packed(df: DataFrame, keys: list[str], roles: Roles = Roles(), **opt
     rows = narrow(df, keys, roles).select(
         roles.row_id, *keys, D.floor_minute(F.col(roles.time)).alias(MINUTE)
     )
-    # Rows that share a minute share a key, and one minute may hold very many. With a key that the
-    # aggregation did not have, both sides are shuffled for the join, and adaptive execution can
-    # then split such a partition of rows.
-    spread = F.xxhash64(*keys, MINUTE).alias("_spread")
-    return (
-        rows.select("*", spread)
-        .join(table.select("*", spread).hint("merge"), ["_spread", *keys, MINUTE], "left")
-        .drop("_spread", MINUTE, *keys)
-    )
+    return spread_join(rows, table, [*keys, MINUTE]).drop(MINUTE, *keys)
 
 
 def history_stats(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:

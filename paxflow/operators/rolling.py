@@ -37,6 +37,20 @@ def attach(df: DataFrame, features: DataFrame, roles: Roles) -> DataFrame:
     return df.join(features.hint("merge"), roles.row_id, "left")
 
 
+def spread_join(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of rows with a table that is unique by ``keys``.
+
+    One key may hold very many rows. With a key that the table's aggregation did not have, both
+    sides are shuffled for the join, and adaptive execution can then split such a partition.
+    """
+    spread = F.xxhash64(*keys).alias("_spread")
+    return (
+        rows.select("*", spread)
+        .join(table.select("*", spread).hint("merge"), ["_spread", *keys], "left")
+        .drop("_spread")
+    )
+
+
 def packed_name(keys: list[str], family: str) -> str:
     return f"_{group_name(keys)}_{family}"
 

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, functions as F
 from paxflow.config import STATISTICS, Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio_or_one
-from paxflow.operators.rolling import attach, group_name, narrow
+from paxflow.operators.rolling import attach, group_name, narrow, spread_join
 from paxflow.plans.blocks import previous_value
-from paxflow.plans.sliding import VALUE, time_frames
+from paxflow.plans.sliding import VALUE, WEIGHT, time_frames
 
 _DAY = 86_400_000_000
+_CLOCK = "_clock"
 
 
 def trend_stats(
@@ -28,45 +29,47 @@ def trend_stats(
     Both windows end just before the row's time and run over the group's target moved down by one
     row. The ratio is 1 where the long value is missing or not positive.
 
-    Rows go to slices of time as long as the long window; each slice also receives the slice
+    Rows of one time share their frames, so each group is first counted by (time, value): whatever
+    its number of rows, it has at most one entry per minute and whole number of passengers. The
+    entries go to slices of time as long as the long window; each slice also receives the slice
     before it, so every frame is whole inside one slice.
     """
-    order = [roles.time, roles.row_id]
+    keys, order = list(keys), [roles.time, roles.row_id]
+    clock = D.micro_number(F.col(roles.time)).alias(_CLOCK)
     rows = narrow(df, keys, roles).where(F.col(roles.time).isNotNull())
-    shifted = previous_value(rows, list(keys), order, F.col(VALUE), "_shifted", layout)
-    span = long_days * _DAY
-    clock = D.micro_number(F.col(roles.time))
-    home = F.floor(clock / F.lit(span))
-    sliced = shifted.select(
-        roles.row_id,
-        *keys,
-        F.col("_shifted").alias(VALUE),
-        clock.alias("_clock"),
-        home.alias("_home"),
-        F.explode(F.array(home, home + 1)).alias("_slice"),
+    counted = (
+        previous_value(rows, keys, order, F.col(VALUE), "_shifted", layout)
+        .groupBy(*keys, clock, F.col("_shifted").alias(VALUE))
+        .agg(F.count(F.lit(1)).alias(WEIGHT))
     )
+    span = long_days * _DAY
+    home = F.floor(F.col(_CLOCK) / F.lit(span))
+    sliced = counted.select(
+        "*", home.alias("_home"), F.explode(F.array(home, home + 1)).alias("_slice")
+    ).withColumn("_owned", F.col("_slice") == F.col("_home"))
     slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segment = [*keys, "_slice"]
-    framed = time_frames(
-        sliced.withColumn("_owned", F.col("_slice") == F.col("_home"))
-        .drop("_home")
-        .repartition(slots, *segment)
-        .sortWithinPartitions(*segment, "_clock", roles.row_id),
+    table = time_frames(
+        sliced.drop("_home").repartition(slots, *segment).sortWithinPartitions(*segment, _CLOCK),
         segment,
-        "_clock",
-        [roles.row_id, "_owned"],
+        _CLOCK,
+        [*keys, _CLOCK, "_owned"],
         {"short": (-short_days * _DAY, 0), "long": (-span, 0)},
         "left",
         stats,
+        weighted=True,
     ).where("_owned")
     name = f"{group_name(keys)}_trend_{short_days}D_vs_{long_days}D"
-    return framed.select(
-        roles.row_id,
+    ratios = table.select(
+        *keys,
+        _CLOCK,
         *[
             ratio_or_one(F.col(f"short_{s}"), F.col(f"long_{s}")).alias(f"{name}_{s}")
             for s in stats
         ],
     )
+    times = narrow(df, keys, roles).select(roles.row_id, *keys, clock)
+    return spread_join(times, ratios, [*keys, _CLOCK]).drop(*keys, _CLOCK)
 
 
 def trend_features(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:

@@ -16,6 +16,7 @@ from pandas.api.indexers import BaseIndexer
 from pyspark.sql import DataFrame
 
 VALUE = "_value"
+WEIGHT = "_weight"
 # Sentinel that a combined (segment, time) key must stay under.
 _KEY_LIMIT = 2**62
 
@@ -32,6 +33,64 @@ def _moments(values: pd.Series, first: np.ndarray, stop: np.ndarray, stats) -> d
     return {stat: getattr(frames, stat)().to_numpy() for stat in stats}
 
 
+def _ranked(order: np.ndarray, weights: np.ndarray, first, stop, rank) -> np.ndarray:
+    """Order number of the value at a weighted rank of each frame.
+
+    ``order`` numbers the distinct values upwards. Bit by bit, from the highest, each frame goes on
+    with its rows whose bit is 0 or 1, whichever holds the rank; the rows are regrouped by that bit
+    for all frames at once.
+    """
+    found = np.zeros(len(first), dtype="int64")
+    for bit in reversed(range(max(1, int(order.max(initial=0)).bit_length()))):
+        one = (order >> bit & 1).astype(bool)
+        zeros = np.concatenate([[0], np.cumsum(~one)])
+        weight = np.concatenate([[0.0], np.cumsum(np.where(one, 0.0, weights))])
+        below = weight[stop] - weight[first]
+        up = rank >= below
+        rank = np.where(up, rank - below, rank)
+        first = np.where(up, zeros[-1] + first - zeros[first], zeros[first])
+        stop = np.where(up, zeros[-1] + stop - zeros[stop], zeros[stop])
+        found = found * 2 + up
+        regrouped = np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])
+        order, weights = order[regrouped], weights[regrouped]
+    return found
+
+
+def _weighted_moments(
+    values: pd.Series, weights: np.ndarray, first: np.ndarray, stop: np.ndarray, stats
+) -> dict:
+    """As ``_moments`` where a row stands for ``weights`` equal rows; missing values do not count."""
+    weights = np.where(values.isna(), 0.0, weights)
+    known = values.fillna(0.0).to_numpy()
+    # Whole-number centre: sums of whole numbers stay exact.
+    shifted = known - np.rint(known.mean())
+
+    def over(cells: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0.0], np.cumsum(cells)])
+        return total[stop] - total[first]
+
+    count = over(weights)
+    some = count > 0
+    out = _moments(values, first, stop, ("min", "max"))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        if "mean" in stats:
+            out["mean"] = np.where(some, over(weights * known) / count, np.nan)
+        if "std" in stats:
+            total = over(weights * shifted)
+            spread = over(weights * shifted**2) - total**2 / count
+            # Equal values have no spread, whatever the last bits of the sums say.
+            spread = np.where(out["min"] == out["max"], 0.0, np.maximum(spread, 0.0))
+            out["std"] = np.where(count > 1, np.sqrt(spread / (count - 1)), np.nan)
+    if "median" in stats:
+        distinct, order = np.unique(known, return_inverse=True)
+        middle = [np.floor((count - 1) / 2), np.floor(count / 2)]
+        # An empty frame holds no rank and ends past the last value; it is set aside below.
+        places = [_ranked(order, weights, first, stop, m) for m in middle]
+        low, high = (distinct[np.minimum(p, len(distinct) - 1)] for p in places)
+        out["median"] = np.where(some, (low + high) / 2, np.nan)
+    return {stat: out[stat] for stat in stats}
+
+
 def _segment_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     """True where a row opens a new run of equal keys (missing keys equal each other)."""
     opens = np.zeros(len(pdf), dtype=bool)
@@ -85,12 +144,14 @@ def time_frames(
     windows: dict[str, tuple[int, int]],
     side: str,
     stats,
+    weighted: bool = False,
 ) -> DataFrame:
     """Frames over a whole-number clock, for rows sorted by (keys, clock).
 
     A window (a, b) covers clock values from t+a to t+b. ``side='right'`` means (t+a, t+b],
     ``side='left'`` means [t+a, t+b). A task holds one run of equal keys at a time, so the keys
-    must include a time slice.
+    must include a time slice. With ``weighted`` a row stands for ``_weight`` equal rows, and one
+    row comes out per key and clock value.
     """
     names = {(w, s): f"{w}_{s}" for w in windows for s in stats}
     fields = [df.schema[c] for c in keep]
@@ -112,9 +173,16 @@ def time_frames(
         for window, (low, high) in windows.items():
             first = np.searchsorted(line, line + low, side=side)
             stop = np.maximum(np.searchsorted(line, line + high, side=side), first)
-            for stat, column in _moments(values, first, stop, stats).items():
+            if weighted:
+                columns = _weighted_moments(
+                    values, rows[WEIGHT].to_numpy(dtype="float64"), first, stop, stats
+                )
+            else:
+                columns = _moments(values, first, stop, stats)
+            for stat, column in columns.items():
                 out[names[window, stat]] = column
-        return pd.DataFrame(out)
+        result = pd.DataFrame(out)
+        return result[np.diff(line, prepend=-1) != 0] if weighted else result
 
     def whole_segments(rows: pd.DataFrame, opens: np.ndarray) -> Iterable[pd.DataFrame]:
         starts = np.append(np.flatnonzero(opens), len(rows))
