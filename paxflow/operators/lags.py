@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from paxflow.config import LAGGED_WINDOWS, LAGS, STATISTICS, Roles
 from paxflow.functions import dates as D
 from paxflow.operators.rolling import attach, group_name, narrow, packed_name, spread_join
-from paxflow.plans.sliding import VALUE, time_frames
+from paxflow.plans.sliding import STATS, VALUE, time_frames
 
 MINUTE = "_minute"
 _DAY_MINUTES = 1440
@@ -32,7 +32,7 @@ def minute_means(df: DataFrame, keys: list[str], roles: Roles = Roles()) -> Data
 def centered_stats(
     means: DataFrame, keys: list[str], window_days: list[int], stats=STATISTICS
 ) -> DataFrame:
-    """Adds ``{days}_{stat}`` over (t - days/2, t + days/2] of the minute means.
+    """Adds ``_stats`` over (t - days/2, t + days/2] of the minute means, window by window.
 
     Minutes go to slices of time as long as the longest window, each slice with half a window of
     its neighbours on both sides. A slice of one group has at most two windows of minutes,
@@ -61,10 +61,7 @@ def centered_stats(
             segment,
             "_clock",
             [*keys, MINUTE, VALUE, "_owned"],
-            {
-                str(d): (-d * _DAY_MINUTES // 2, d * _DAY_MINUTES // 2)
-                for d in sorted(set(window_days))
-            },
+            [(-d * _DAY_MINUTES // 2, d * _DAY_MINUTES // 2) for d in window_days],
             "right",
             stats,
         )
@@ -90,17 +87,23 @@ def history_table(
     minutes = minute_means(df, keys, roles)
     means = minutes
     if windows:
-        means = centered_stats(minutes, keys, [days for _, days in windows.values()], stats)
+        # Two lags may look through one window; its statistics are made once.
+        lengths = sorted({days for _, days in windows.values()})
+        means = centered_stats(minutes, keys, lengths, stats)
 
-    def arrival(tag: str, delay: str, values: list[str]) -> str:
+    def arrival(tag: str, delay: str, values: str) -> str:
         return (
             f"struct('{tag}' AS _tag, {MINUTE} + INTERVAL {delay} AS _at, {MINUTE} AS _from,"
-            f" array({', '.join(values)}) AS _values)"
+            f" {values} AS _values)"
         )
 
-    arrivals = [arrival(n, by, [VALUE]) for n, by in lags.items()]
+    arrivals = [arrival(n, by, f"array({VALUE})") for n, by in lags.items()]
     arrivals += [
-        arrival(n, f"{delay} days", [f"`{days}_{s}`" for s in stats])
+        arrival(
+            n,
+            f"{delay} days",
+            f"slice({STATS}, {lengths.index(days) * len(stats) + 1}, {len(stats)})",
+        )
         for n, (delay, days) in windows.items()
     ]
     # Most of what is sent forward meets no flight: the join drops it before the aggregation.

@@ -8,7 +8,7 @@ from paxflow.config import MOMENTUM_PAIRS, ROLLING_ROWS, STATISTICS, Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio
 from paxflow.plans.blocks import BLOCK, OWNED, POSITION, needs_blocks, previous_value, row_blocks
-from paxflow.plans.sliding import VALUE, row_frames
+from paxflow.plans.sliding import STATS, VALUE, row_frames
 
 
 def group_name(keys: list[str]) -> str:
@@ -86,10 +86,7 @@ def rolling_packed(
     framed = row_frames(sorted_rows, segment, keep, windows, gap, stats)
     if OWNED in keep:
         framed = framed.where(OWNED)
-    return framed.select(
-        roles.row_id,
-        F.array(*[f"{w}_{s}" for w in windows for s in stats]).alias(packed_name(keys, "rolling")),
-    )
+    return framed.select(roles.row_id, F.col(STATS).alias(packed_name(keys, "rolling")))
 
 
 def rolling_columns(keys: list[str], windows=ROLLING_ROWS, stats=STATISTICS) -> list[str]:

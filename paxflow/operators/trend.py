@@ -9,7 +9,7 @@ from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio_or_one
 from paxflow.operators.rolling import attach, group_name, narrow, spread_join
 from paxflow.plans.blocks import previous_value
-from paxflow.plans.sliding import VALUE, WEIGHT, time_frames
+from paxflow.plans.sliding import STATS, VALUE, WEIGHT, time_frames
 
 _DAY = 86_400_000_000
 _CLOCK = "_clock"
@@ -54,7 +54,7 @@ def trend_stats(
         segment,
         _CLOCK,
         [*keys, _CLOCK, "_owned"],
-        {"short": (-short_days * _DAY, 0), "long": (-span, 0)},
+        [(-short_days * _DAY, 0), (-span, 0)],
         "left",
         stats,
         weighted=True,
@@ -64,8 +64,8 @@ def trend_stats(
         *keys,
         _CLOCK,
         *[
-            ratio_or_one(F.col(f"short_{s}"), F.col(f"long_{s}")).alias(f"{name}_{s}")
-            for s in stats
+            ratio_or_one(F.col(STATS)[i], F.col(STATS)[len(stats) + i]).alias(f"{name}_{s}")
+            for i, s in enumerate(stats)
         ],
     )
     times = narrow(df, keys, roles).select(roles.row_id, *keys, clock)

@@ -12,10 +12,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pandas.api.indexers import BaseIndexer
 from pyspark.sql import DataFrame
 
 VALUE = "_value"
+STATS = "_stats"
 WEIGHT = "_weight"
 # Sentinel that a combined (segment, time) key must stay under.
 _KEY_LIMIT = 2**62
@@ -101,39 +103,49 @@ def _segment_starts(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return opens
 
 
+def _schema(df: DataFrame, keep: list[str]) -> str:
+    kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
+    return ", ".join([*kept, f"{STATS} array<double>"])
+
+
+def _batches(kept: pa.Table, stats: np.ndarray) -> list[pa.RecordBatch]:
+    """Kept columns as they came, and one list of statistics per row; NaN becomes null."""
+    width = stats.shape[1]
+    offsets = pa.array(np.arange(0, stats.size + 1, width, dtype="int32"))
+    lists = pa.ListArray.from_arrays(offsets, pa.array(stats.ravel(), from_pandas=True))
+    return kept.append_column(STATS, lists).combine_chunks().to_batches()
+
+
 def row_frames(
     df: DataFrame, keys: list[str], keep: list[str], windows: dict[str, int], gap: int, stats
 ) -> DataFrame:
     """Frames of n rows ending ``gap`` rows before the current one, for rows sorted by key.
 
-    A task holds one batch and the rows the longest frame reaches back, never a whole group.
+    Adds ``_stats``: the statistics of the first window, then of the second, and so on. A task
+    holds one batch and the rows the longest frame reaches back, never a whole group.
     """
     reach = max(windows.values()) + gap - 1
-    names = {(w, s): f"{w}_{s}" for w in windows for s in stats}
-    fields = [df.schema[c] for c in keep]
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-        + [f"`{n}` double" for n in names.values()]
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         context = None
         for batch in batches:
-            held = 0 if context is None else len(context)
-            rows = batch if context is None else pd.concat([context, batch], ignore_index=True)
+            given = pa.Table.from_batches([batch])
+            fresh = given.select([*keys, VALUE])
+            table = fresh if context is None else pa.concat_tables([context, fresh])
+            rows = table.to_pandas()
             index = np.arange(len(rows))
             opening = np.maximum.accumulate(np.where(_segment_starts(rows, keys), index, 0))
             values = rows[VALUE].astype("float64")
-            out = {c: rows[c] for c in keep}
-            for window, size in windows.items():
+            columns = []
+            for size in windows.values():
                 first = np.maximum(index - (size + gap - 1), opening)
                 stop = np.maximum(index - gap + 1, first)
-                for stat, column in _moments(values, first, stop, stats).items():
-                    out[names[window, stat]] = column
-            yield pd.DataFrame(out).iloc[held:]
-            context = rows.iloc[-reach:]
+                columns += _moments(values, first, stop, stats).values()
+            held = table.num_rows - given.num_rows
+            yield from _batches(given.select(keep), np.column_stack(columns)[held:])
+            context = table.slice(max(0, table.num_rows - reach))
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, _schema(df, keep))
 
 
 def time_frames(
@@ -141,81 +153,81 @@ def time_frames(
     keys: list[str],
     clock: str,
     keep: list[str],
-    windows: dict[str, tuple[int, int]],
+    windows: list[tuple[int, int]],
     side: str,
     stats,
     weighted: bool = False,
 ) -> DataFrame:
-    """Frames over a whole-number clock, for rows sorted by (keys, clock).
+    """Frames over a whole-number clock, for rows sorted by (keys, clock); adds ``_stats``.
 
     A window (a, b) covers clock values from t+a to t+b. ``side='right'`` means (t+a, t+b],
     ``side='left'`` means [t+a, t+b). A task holds one run of equal keys at a time, so the keys
     must include a time slice. With ``weighted`` a row stands for ``_weight`` equal rows, and one
     row comes out per key and clock value.
     """
-    names = {(w, s): f"{w}_{s}" for w in windows for s in stats}
-    fields = [df.schema[c] for c in keep]
-    schema = ", ".join(
-        [f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-        + [f"`{n}` double" for n in names.values()]
-    )
-    margin = 2 * max(abs(edge) for pair in windows.values() for edge in pair) + 2
-
-    def compute(rows: pd.DataFrame, opens: np.ndarray) -> pd.DataFrame:
+    margin = 2 * max(abs(edge) for pair in windows for edge in pair) + 2
+    needed = list(dict.fromkeys([*keys, clock, VALUE, *([WEIGHT] if weighted else [])]))
+
+    def compute(kept: pa.Table, rows: pd.DataFrame, opens: np.ndarray) -> list[pa.RecordBatch]:
         segment = np.cumsum(opens) - 1
         time = rows[clock].to_numpy(dtype="int64")
         elapsed = time - time[opens][segment]
-        step = int(elapsed.max()) + margin
-        out = {c: rows[c] for c in keep}
-        values = rows[VALUE].astype("float64")
         # Segments are laid end to end on one clock, far enough apart that no frame spans two.
-        line = segment * step + elapsed
-        for window, (low, high) in windows.items():
+        line = segment * (int(elapsed.max()) + margin) + elapsed
+        values = rows[VALUE].astype("float64")
+        columns = []
+        for low, high in windows:
             first = np.searchsorted(line, line + low, side=side)
             stop = np.maximum(np.searchsorted(line, line + high, side=side), first)
             if weighted:
-                columns = _weighted_moments(
-                    values, rows[WEIGHT].to_numpy(dtype="float64"), first, stop, stats
-                )
+                weights = rows[WEIGHT].to_numpy(dtype="float64")
+                columns += _weighted_moments(values, weights, first, stop, stats).values()
             else:
-                columns = _moments(values, first, stop, stats)
-            for stat, column in columns.items():
-                out[names[window, stat]] = column
-        result = pd.DataFrame(out)
-        return result[np.diff(line, prepend=-1) != 0] if weighted else result
-
-    def whole_segments(rows: pd.DataFrame, opens: np.ndarray) -> Iterable[pd.DataFrame]:
+                columns += _moments(values, first, stop, stats).values()
+        result = np.column_stack(columns)
+        if weighted:
+            once = np.diff(line, prepend=-1) != 0
+            kept, result = kept.filter(pa.array(once)), result[once]
+        return _batches(kept, result)
+
+    def whole_segments(parts: list[pa.Table]) -> Iterable[pa.RecordBatch]:
+        table = pa.concat_tables(parts)
+        if not table.num_rows:
+            return
+        rows = table.select(needed).to_pandas()
+        opens = _segment_starts(rows, keys)
         starts = np.append(np.flatnonzero(opens), len(rows))
         time = rows[clock].to_numpy(dtype="int64")
         longest = int((time[starts[1:] - 1] - time[starts[:-1]]).max())
         fit = max(1, _KEY_LIMIT // (longest + margin))
         for at in range(0, len(starts) - 1, fit):
-            cut = slice(starts[at], starts[min(at + fit, len(starts) - 1)])
-            yield compute(rows.iloc[cut].reset_index(drop=True), opens[cut])
+            low, high = int(starts[at]), int(starts[min(at + fit, len(starts) - 1)])
+            yield from compute(
+                table.slice(low, high - low).select(keep),
+                rows.iloc[low:high].reset_index(drop=True),
+                opens[low:high],
+            )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        parts: list[pd.DataFrame] = []
-        last_key = None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        parts: list[pa.Table] = []
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            opens = _segment_starts(batch, keys)
-            opens[0] = last_key is None or any(
-                batch[k].iat[0] != v for k, v in zip(keys, last_key)
-            )
-            last_key = [batch[k].iat[-1] for k in keys]
-            cuts = np.flatnonzero(opens)
-            if not len(cuts):
-                parts.append(batch)
+            table = pa.Table.from_batches([batch])
+            # Everything before the batch's last opening is complete; the rest may go on in the
+            # next batch. A batch that only goes on with the open segment completes nothing.
+            last = int(np.flatnonzero(_segment_starts(table.select(keys).to_pandas(), keys))[-1])
+            if not last and parts and _same_key(parts[-1], table, keys):
+                parts.append(table)
                 continue
-            # Everything before the last opening is complete; the rest may go on in the next batch.
-            ready = [*parts, batch.iloc[: cuts[-1]]] if cuts[-1] or parts else []
-            if ready:
-                rows = pd.concat(ready, ignore_index=True)
-                yield from whole_segments(rows, _segment_starts(rows, keys))
-            parts = [batch.iloc[cuts[-1] :]]
+            yield from whole_segments([*parts, table.slice(0, last)])
+            parts = [table.slice(last)]
         if parts:
-            rows = pd.concat(parts, ignore_index=True)
-            yield from whole_segments(rows, _segment_starts(rows, keys))
+            yield from whole_segments(parts)
+
+    return df.mapInArrow(run, _schema(df, keep))
+
 
-    return df.mapInPandas(run, schema)
+def _same_key(before: pa.Table, after: pa.Table, keys: list[str]) -> bool:
+    """The first table's last row and the second one's first row belong together."""
+    return all(before[k][-1].as_py() == after[k][0].as_py() for k in keys)
