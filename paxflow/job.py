@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import date
@@ -84,6 +85,8 @@ def run(
         ("reduced", reduced, roles.reduced_target),
     ):
         train, valid, test = split_sets(table, limits, roles)
+        if test.isEmpty():
+            warnings.warn(f"no flights for {target} from {limits.valid} to {limits.test}")
         model = fit_or_load(
             f"{config.model_dir}/{name}",
             train,

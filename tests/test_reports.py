@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 
+from paxflow import config
 from paxflow.config import Roles
 from paxflow.functions.numbers import whole_count
 from paxflow.operators import hourly, metrics, split, staffing
@@ -144,3 +145,26 @@ def test_plan_cuts_shifts_at_midnight_and_keeps_keys_apart(spark):
     plan = staffing.staffing_plan(hours, ["terminal"]).where("Staff_Starting > 0")
     found = {(r.day.day, r.terminal, r.Heure): r.Staff_Starting for r in plan.collect()}
     assert found == {(1, "A", 23): 40, (2, "A", 0): 8, (1, None, 23): 8}
+
+
+def test_forecast_report(spark):
+    roles = Roles()
+    t = dt.datetime(2026, 4, 1, 7, 30)
+    pred = spark.createDataFrame(
+        [("A", t, 100.0, 1.0), ("B", t, 50.0, 0.0), ("A", t + dt.timedelta(days=1), 9.0, 9.0)],
+        config.PREDICTIONS_DDL,
+    )
+    real = spark.createDataFrame(
+        [("A", t, 90, 2, "T1", "Départ"), ("B", t, 60, 0, None, "Arrivée"), (None, t, 5, 5, "T1", "Départ")],
+        config.ACTUALS_DDL,
+    )
+    report = metrics.forecast_report(pred, real, "2026-04-01", roles)
+    assert report["joined"].count() == 2
+    assert report["passengers"].first().mae == 10.0
+    assert report["reduced"].first().total_actual == 2.0
+    sums = {(r.level, r.SysTerminal, r.Direction): r.PredNbPaxTotal for r in report["sums"].collect()}
+    assert sums["Heure", None, None] == 150.0
+    assert sums["Heure+SysTerminal", "T1", None] == 100.0
+    assert sums["Heure+SysTerminal", None, None] == 50.0
+    assert sums["Direction", None, "Arrivée"] == 50.0
+    assert len(sums) == 1 + 2 + 2 + 2
