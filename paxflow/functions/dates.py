@@ -57,15 +57,6 @@ def floor_hour(ts: Column) -> Column:
     )
 
 
-def floor_day(ts: Column) -> Column:
-    return F.to_date(ts).cast("timestamp_ntz")
-
-
-def plus(ts: str, interval: str) -> Column:
-    """Add an interval given as text; months and years clip to the month end."""
-    return F.expr(f"{ts} + INTERVAL {interval}")
-
-
 def semester(ts: Column) -> Column:
     return F.when(F.month(ts) <= 6, 1).otherwise(2)
 

@@ -348,6 +348,10 @@ ORACLE["metrics_hourly"] = f"""
 SELECT CAST(hour(ts) AS INT) AS Heure, {level_cells('reduced', 'pred_reduced')}
 FROM {COMPARED} GROUP BY 1
 """
+ORACLE["metrics_preview"] = f"""
+SELECT CAST(hour(ts) AS INT) AS Heure, {level_cells('pax', 'pred_pax')}
+FROM {COMPARED} GROUP BY 1 ORDER BY 1 LIMIT 5
+"""
 ORACLE["top_errors"] = f"""
 SELECT id, flight, ts, pax, pred_pax, abs(pax - pred_pax) AS Abs_Error
 FROM {COMPARED} ORDER BY abs(pax - pred_pax) DESC, id LIMIT 10
@@ -401,7 +405,11 @@ SELECT day, {r('sum(Staff_Starting) / 8', 'teams')},
        {r('sum(Total_Staff_Present) * 25', 'cost')}
 FROM plan GROUP BY day
 """
-_MONEY = "lpad(format('{{:,}}', CAST({c} AS BIGINT)) || '.00', CAST(greatest(8, length(format('{{:,}}', CAST({c} AS BIGINT))) + 3) AS INT), ' ') || ' $'"
+_THOUSANDS = "format('{{:,}}', CAST({c} AS BIGINT))"
+_MONEY = (
+    f"lpad({_THOUSANDS} || '.00', CAST(greatest(8, length({_THOUSANDS}) + 3) AS INT), ' ')"
+    " || ' $'"
+)
 ORACLE["staffing_report"] = f"""
 WITH {plan([])},
 body AS (
@@ -596,6 +604,19 @@ SELECT id, a.country AS place, direction,
        CASE WHEN a.country IN ('FR', 'LF', 'GP', 'MQ', 'RE') THEN 'France' ELSE 'abroad' END AS branch
 FROM {NATION_ORDERS} n LEFT JOIN {AIRPORTS} a ON n.previous = a.iata
 """
+ORACLE["school_days_france"] = f"""
+WITH k AS (SELECT m.id, m.day, m.previous, c.OACI_code, c.country, c.city
+           FROM {NATION_ORDERS} m JOIN {CODES} c ON m.previous = c.code
+           WHERE c.country IN ('FR', 'LF', 'GP', 'MQ', 'RE')),
+z AS (SELECT x.*, t.zone FROM {cleaned('k')} x LEFT JOIN {DISTRICTS} ON x.clean = d.city
+      LEFT JOIN (VALUES ('Rennes', 'Zone B'), ('Lyon', 'Zone A'), ('Guadeloupe', 'Guadeloupe'))
+           AS t(target, zone) ON coalesce(d.district, x.clean) = t.target),
+fr AS (SELECT DISTINCT CASE WHEN zone < '3' THEN 'Zone A' ELSE 'Zone B' END AS zone, day
+       FROM {period_days('zone')})
+SELECT z.id, z.day, z.previous, z.OACI_code, z.country, z.city,
+       CASE WHEN fr.day IS NULL THEN 0 ELSE 1 END AS IsScholarHolidays
+FROM z LEFT JOIN fr ON z.zone = fr.zone AND z.day = fr.day
+"""
 ORACLE["holiday_flags"] = f"""
 WITH m AS (SELECT id, ts, direction, previous, day,
                   CASE WHEN direction = 'Départ' THEN 'NN0' ELSE previous END AS departure

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paxflow.functions import text as X
-from paxflow.functions.numbers import whole_count
 from paxflow.operators import calendar, features, holidays, hourly, lags, metrics, rolling
 from paxflow.operators import model as M
 from paxflow.operators import split, staffing, trend
@@ -241,6 +240,12 @@ def metrics_hourly(spark, sf_dir):
     return rounded(metrics.all_metrics(rows, "reduced", "pred_reduced", ROLES)["Hourly"])
 
 
+@query
+def metrics_preview(spark, sf_dir):
+    tables = metrics.all_metrics(_compared(spark, sf_dir), "pax", "pred_pax", ROLES)
+    return rounded(metrics.first_rows(tables["Hourly"], ["Heure"], 5))
+
+
 @query
 def top_errors(spark, sf_dir):
     rows = _predicted(spark, sf_dir).select("flight", "ts", "pred_pax")
@@ -324,6 +329,27 @@ def school_days_abroad(spark, sf_dir):
     return holidays.school_flags_abroad(rows, V.order_periods(spark, sf_dir, "country"))
 
 
+@query
+def school_days_france(spark, sf_dir):
+    rows = V.nation_orders(spark, sf_dir).select("id", "day", "previous")
+    placed = holidays.resolve_airports(rows, V.airports(spark, sf_dir), "previous")
+    french, _ = holidays.country_split(placed)
+    return holidays.school_flags_france(french, _zone_periods(spark, sf_dir), _zones(spark))
+
+
+def _zone_periods(spark, sf_dir) -> DataFrame:
+    return V.order_periods(spark, sf_dir, "zone").withColumn(
+        "zone", F.when(F.col("zone") < "3", "Zone A").otherwise("Zone B")
+    )
+
+
+def _zones(spark) -> DataFrame:
+    return spark.sql(
+        "SELECT * FROM VALUES ('Rennes', 'Zone_B'), ('Lyon', 'Zone A'), ('Guadeloupe', 'Guadeloupe')"
+        " AS t(target, zone)"
+    )
+
+
 ZONES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
@@ -403,21 +429,14 @@ def country_split_union(spark, sf_dir):
 
 @query
 def holiday_flags(spark, sf_dir):
-    records = V.order_periods(spark, sf_dir, "zone").withColumn(
-        "zone", F.when(F.col("zone") < "3", "Zone A").otherwise("Zone B")
-    )
-    lookup = spark.sql(
-        "SELECT * FROM VALUES ('Rennes', 'Zone_B'), ('Lyon', 'Zone A'), ('Guadeloupe', 'Guadeloupe')"
-        " AS t(target, zone)"
-    )
     movements = V.nation_orders(spark, sf_dir).select("id", "ts", "direction", "previous")
     flags = holidays.holiday_flags(
         movements,
         V.airports(spark, sf_dir),
         V.nation_holidays(spark, sf_dir, True),
-        records,
+        _zone_periods(spark, sf_dir),
         V.order_periods(spark, sf_dir, "country"),
-        lookup,
+        _zones(spark),
         "NN0",
         ROLES,
     )

@@ -98,7 +98,12 @@ def school_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     week = F.expr("INTERVAL '7' DAY")
     return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_custkey") % 4 == 0, "")
-        .otherwise(F.concat(F.lit("Zone "), F.substring(F.lit("ABC"), (F.col("o_custkey") % 3 + 1).cast("int"), F.lit(1))))
+        .otherwise(
+            F.concat(
+                F.lit("Zone "),
+                F.substring(F.lit("ABC"), (F.col("o_custkey") % 3 + 1).cast("int"), F.lit(1)),
+            )
+        )
         .alias("zones"),
         F.col("o_orderpriority").alias("location"),
         F.when(F.col("o_orderstatus") == "F", "Vacances d'Hiver")
