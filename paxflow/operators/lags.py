@@ -50,13 +50,12 @@ def centered_stats(
         F.floor(clock / F.lit(span)).alias("_home"),
         F.explode(F.sequence(first, last)).alias("_slice"),
     )
-    slots = int(means.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segment = [*keys, "_slice"]
     return (
         time_frames(
             sliced.withColumn("_owned", F.col("_slice") == F.col("_home"))
             .drop("_home")
-            .repartition(slots, *segment)
+            .repartition(*segment)
             .sortWithinPartitions(*segment, "_clock"),
             segment,
             "_clock",

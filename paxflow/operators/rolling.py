@@ -72,16 +72,13 @@ def rolling_packed(
     """
     rows = narrow(df, keys, roles)
     order = [roles.time, roles.row_id]
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The number of partitions is given: the frames are bound by computing, and adaptive
-    # coalescing, which goes by bytes, would pack them into a few long tasks.
     if not keys or needs_blocks(rows, keys, layout):
         reach = max(windows.values()) + gap - 1
         blocks = row_blocks(rows, keys, order, reach, block_rows)
-        sorted_rows = blocks.repartition(slots, BLOCK).sortWithinPartitions(BLOCK, POSITION)
+        sorted_rows = blocks.repartition(BLOCK).sortWithinPartitions(BLOCK, POSITION)
         segment, keep = [BLOCK, *keys], [roles.row_id, OWNED]
     else:
-        sorted_rows = rows.repartition(slots, *keys).sortWithinPartitions(*keys, *order)
+        sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
         segment, keep = list(keys), [roles.row_id]
     framed = row_frames(sorted_rows, segment, keep, windows, gap, stats)
     if OWNED in keep:

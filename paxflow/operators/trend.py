@@ -47,10 +47,9 @@ def trend_stats(
     sliced = counted.select(
         "*", home.alias("_home"), F.explode(F.array(home, home + 1)).alias("_slice")
     ).withColumn("_owned", F.col("_slice") == F.col("_home"))
-    slots = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segment = [*keys, "_slice"]
     table = time_frames(
-        sliced.drop("_home").repartition(slots, *segment).sortWithinPartitions(*segment, _CLOCK),
+        sliced.drop("_home").repartition(*segment).sortWithinPartitions(*segment, _CLOCK),
         segment,
         _CLOCK,
         [*keys, _CLOCK, "_owned"],
