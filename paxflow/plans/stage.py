@@ -16,7 +16,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
-    folder = context.getConf().get(CHECKPOINT_SETTING) or context.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that every executor can reach")
