@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paxflow.llm.common import table
 from paxflow.llm.exact_dedup import exact_groups
+from paxflow.llm.quality import quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,3 +29,49 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("digest")
+
+
+ORACLE["op5_quality_rules"] = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, list_slice(words, i, i + 7) AS w
+    FROM d, unnest(range(1, len(words) - 6)) AS r(i)
+), twice AS (
+    SELECT doc_id, i FROM windows
+    QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1
+), covered AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n
+    FROM twice, unnest(range(0, 8)) AS s(k) GROUP BY doc_id
+), hosts AS (
+    SELECT source, count(DISTINCT t) AS host_docs FROM d GROUP BY source
+), lines AS (
+    SELECT doc_id, source, t, trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')) AS line,
+           len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS w
+    FROM (SELECT doc_id, source, t, unnest(lines) AS x FROM d)
+), common AS (
+    SELECT source, line FROM lines JOIN hosts USING (source) GROUP BY source, line, host_docs
+    HAVING count(DISTINCT t) >= greatest(20, 0.1 * host_docs)
+), removed AS (
+    SELECT doc_id, sum(w)::BIGINT AS n FROM lines JOIN common USING (source, line) GROUP BY doc_id
+), figures AS (
+    SELECT doc_id, len(words) AS n_words,
+           coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(covered.n, 0) AS n_repeat_words, coalesce(removed.n, 0) AS removed_words
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN removed USING (doc_id)
+), rated AS (
+    SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM figures
+)
+SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM rated
+"""
