@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from paxflow.llm.common import table
 from paxflow.llm.exact_dedup import exact_groups
+from paxflow.llm.pieces import encode_texts
 from paxflow.llm.quality import quality_rules
+from paxflow.llm.sharding import sharded
+from paxflow.llm.tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +36,26 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf_dir, "documents"), path, limit=1024)
+
+
+@query
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("record.text", F.lit(""))
+    return sharded(table(spark, sf_dir, "documents"), 40).select(
+        F.col("record.doc_id").alias("doc_id"),
+        (F.octet_length(text).cast("long") + 16).alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("digest")
@@ -75,3 +100,9 @@ WITH d AS (
 )
 SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM rated
 """
+
+
+@query
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return encode_texts(table(spark, sf_dir, "documents"), path)
