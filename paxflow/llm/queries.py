@@ -13,6 +13,7 @@ from paxflow.llm.exact_dedup import exact_groups
 from paxflow.llm.pieces import encode_texts
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
+from paxflow.llm.token_files import token_files
 from paxflow.llm.tokens import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +103,12 @@ SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM rated
 """
 
 
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_files(table(spark, sf_dir, "documents"), path)
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")

@@ -18,18 +18,17 @@ so no name can clash (their types must be orderable).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paxflow.llm.common import whole_text
+from paxflow.llm.common import running_starts, whole_text
 from paxflow.plans.stage import staged, staging_path
 
 BUCKET_BYTES = 16 << 20
 BUCKET_ROWS = 512
 GROUP_BYTES = 8 << 20
 ROW_OVERHEAD = 16
-RUN = 1000
 BROADCAST_ROWS = 200_000
 
 
@@ -66,27 +65,6 @@ def permutation(n: Column, seed: int, bucket: Column) -> Column:
     return F.aggregate(steps, F.sequence(F.lit(1), n), swap)
 
 
-def offsets(buckets: DataFrame) -> DataFrame:
-    """Per bucket the rows of all buckets before it, by prefix sums in two levels."""
-    runs = buckets.withColumn("run", F.expr(f"bucket div {RUN}"))
-    whole = runs.groupBy("run").agg(F.sum("n").alias("n"))
-    before = F.coalesce(
-        F.sum("n").over(Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    inside = F.coalesce(
-        F.sum("n").over(
-            Window.partitionBy("run").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        ),
-        F.lit(0),
-    )
-    starts = whole.select("run", before.alias("base"))
-    return (
-        runs.withColumn("inside", inside)
-        .join(starts, "run")
-        .select("bucket", (F.col("base") + F.col("inside")).alias("start"))
-    )
-
-
 def shuffle_to_shards(
     docs: DataFrame,
     path: str,
@@ -113,7 +91,7 @@ def shuffle_to_shards(
         key = F.when(F.coalesce(repeated, F.lit(False)), by_row).otherwise(key)
     bucket = F.pmod(key, F.lit(n_buckets))
     counts = docs.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
-    starts = staged(offsets(counts), "shard-offsets")
+    starts = staged(running_starts(counts, "bucket"), "shard-offsets")
 
     scattered = docs.select(
         bucket.alias("bucket"),

@@ -66,6 +66,27 @@ def encoded(chunks: list[str], path: str):
     return tokenizer(path).encode_batch_fast(whole, add_special_tokens=False)
 
 
+#: Chunks whose ids a worker remembers; the memory is started anew beyond it.
+REMEMBERED = 500_000
+_known: dict[str, dict[str, bytes]] = {}
+
+
+def encode_texts(texts: list[str], path: str) -> list[bytes]:
+    """The ids of each text as little-endian unsigned 32-bit integers.
+
+    Ids of chunks are kept in the worker between batches and tasks.
+    """
+    known = _known.setdefault(path, {})
+    cut = [pre_tokens(text, path) for text in texts]
+    new = list({chunk for chunks in cut for chunk in chunks if chunk not in known})
+    if len(known) + len(new) > REMEMBERED:
+        known.clear()
+        new = list({chunk for chunks in cut for chunk in chunks})
+    for chunk, e in zip(new, encoded(new, path)):
+        known[chunk] = np.array(e.ids, "<u4").tobytes()
+    return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+
+
 def token_counts(
     docs: DataFrame,
     path: str,
