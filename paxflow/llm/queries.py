@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from paxflow.llm.common import table
 from paxflow.llm.exact_dedup import exact_groups
+from paxflow.llm.html_text import main_text
 from paxflow.llm.pieces import encode_texts
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
@@ -113,3 +114,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     return encode_texts(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
