@@ -14,6 +14,7 @@ from paxflow.llm.html_text import main_text
 from paxflow.llm.pieces import encode_texts
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
+from paxflow.llm.shingle_join import shingle_components
 from paxflow.llm.token_files import token_files
 from paxflow.llm.tokens import token_counts
 
@@ -110,6 +111,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
