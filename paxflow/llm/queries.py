@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paxflow.llm.common import table
 from paxflow.llm.exact_dedup import exact_groups
 from paxflow.llm.html_text import main_text
+from paxflow.llm.mixing import mixed_rates
 from paxflow.llm.pieces import encode_texts
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
@@ -39,6 +40,12 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return mixed_rates(docs, labels).drop("digest")
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
