@@ -70,15 +70,17 @@ def from_planes(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def batches_of(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """Identifiers and texts of about ``BATCH_BYTES`` at a time; a longer text is a batch."""
+def batches_of(
+    rows: Iterator[pa.RecordBatch], most: int = BATCH_BYTES
+) -> Iterator[tuple[list, list[str]]]:
+    """Identifiers and texts of about ``most`` characters at a time; a longer text is a batch."""
     ids, texts, size = [], [], 0
     for block in rows:
         for doc, text in zip(block.column(0), block.column(1)):
             ids.append(doc.as_py())
             texts.append(text.as_py())
             size += len(texts[-1])
-            if size >= BATCH_BYTES:
+            if size >= most:
                 yield ids, texts
                 ids, texts, size = [], [], 0
     if ids:

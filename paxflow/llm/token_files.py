@@ -35,6 +35,8 @@ from paxflow.plans.stage import staging_path
 
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
+#: Characters of texts that are encoded together.
+BATCH_CHARACTERS = 1 << 21
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -125,7 +127,7 @@ def _segments(path: str, end_id: int, id_type: pa.DataType):
             columns = [pa.array(v, f.type) for v, f in zip(row, schema)]
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
-        for own, texts in batches_of(rows):
+        for own, texts in batches_of(rows, BATCH_CHARACTERS):
             for doc, body in zip(own, encode_texts(texts, path)):
                 ids.append(doc)
                 raw.append(body + end)

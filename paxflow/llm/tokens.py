@@ -66,25 +66,62 @@ def encoded(chunks: list[str], path: str):
     return tokenizer(path).encode_batch_fast(whole, add_special_tokens=False)
 
 
-#: Chunks whose ids a worker remembers; the memory is started anew beyond it.
-REMEMBERED = 500_000
-_known: dict[str, dict[str, bytes]] = {}
+#: Letters below this are letters in every version of Unicode's tables.
+LATIN_END = "\u0250"
+
+
+@functools.cache
+def _byte_level(path: str) -> dict[int, str]:
+    """How the library writes blank and Latin letters before it merges them, asked of it."""
+    before = tokenizer(path).pre_tokenizer
+    letters = [" ", *(c for c in map(chr, range(ord(LATIN_END))) if c.isalpha())]
+    return {ord(c): "".join(x for x, _ in before.pre_tokenize_str(c)) for c in letters}
+
+
+def _ids_of(chunks: set[str], path: str) -> dict[str, bytes]:
+    """Ids of new chunks. A blank, Latin letters and perhaps a stop or comma are two pre-tokens: the
+    library's merges are asked directly, once per word; other chunks go through all of it."""
+    model, written = tokenizer(path).model, _byte_level(path)
+    ends = {mark: np.array([model.token_to_id(mark)], "<u4").tobytes() for mark in ".,"}
+    words: dict[str, bytes] = {}
+    out, rest = {}, []
+    for chunk in chunks:
+        end = ends.get(chunk[-1:], b"")
+        word = chunk[:-1] if end else chunk
+        if not word.isalpha() or not (word.isascii() or max(word) < LATIN_END):
+            rest.append(chunk)
+            continue
+        ids = words.get(word)
+        if ids is None:
+            found = model.tokenize((" " + word).translate(written))
+            ids = words[word] = b"".join([x.id.to_bytes(4, "little") for x in found])
+        out[chunk] = ids + end
+    out.update(zip(rest, (np.array(e.ids, "<u4").tobytes() for e in encoded(rest, path))))
+    return out
+
+
+#: Chunks whose ids a worker remembers as used of late; as many older ones are at hand.
+REMEMBERED = 400_000
+_known: dict[str, list[dict[str, bytes]]] = {}
 
 
 def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit integers.
 
-    Ids of chunks are kept in the worker between batches and tasks.
+    Ids of chunks are kept in the worker between batches and tasks, in two generations.
     """
-    known = _known.setdefault(path, {})
+    known = _known.setdefault(path, [{}, {}])
     cut = [pre_tokens(text, path) for text in texts]
-    new = list({chunk for chunks in cut for chunk in chunks if chunk not in known})
-    if len(known) + len(new) > REMEMBERED:
-        known.clear()
-        new = list({chunk for chunks in cut for chunk in chunks})
-    for chunk, e in zip(new, encoded(new, path)):
-        known[chunk] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
+    new = {chunk for chunks in cut for chunk in chunks}
+    if len(known[0]) + len(new) > REMEMBERED:
+        known[:] = [{}, known[0]]
+    late, old = known
+    new.difference_update(late)
+    again = new & old.keys()
+    late.update(zip(again, map(old.__getitem__, again)))
+    new -= again
+    late.update(_ids_of(new, path))
+    return [b"".join(map(late.__getitem__, chunks)) for chunks in cut]
 
 
 def token_counts(
