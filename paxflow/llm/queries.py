@@ -13,6 +13,7 @@ from paxflow.llm.exact_dedup import exact_groups
 from paxflow.llm.html_text import main_text
 from paxflow.llm.mixing import mixed_rates
 from paxflow.llm.pieces import encode_texts
+from paxflow.llm.pseudonyms import replace_values
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
 from paxflow.llm.shingle_join import shingle_components
@@ -112,6 +113,12 @@ SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM rated
 """
 
 
+@query
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, count = replace_values(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "text", count)
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
