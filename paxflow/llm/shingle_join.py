@@ -3,9 +3,11 @@
 The Jaccard distance is a metric, and the join works in that metric space:
 
 1. *Sets.* A document is the set of hashes of its five-word shingles. Equal sets are one node.
-2. *Pivots.* Linked documents share a shingle among the rarest quarter of either set (rarest by a
-   fixed-size table of counts over the whole corpus; any order gives the same links). Per such
-   shingle one document, the least of a random order, is the pivot of those that hold it.
+2. *Pivots.* Linked documents share shingles among the rarest quarter or so of their sets (rarest by
+   a fixed-size table of counts over the whole corpus; any order gives the same links). Per such
+   shingle one document, the least of a random order, is the pivot of those that hold it. Taking
+   ``SLACK`` more of a set than a link needs makes linked documents share that many shingles, so a
+   document may leave the pivots it meets least often, as long as what both leave is less than that.
 3. *Regions.* A document belongs to the region of each pivot it meets; those at a boundary are
    replicated to all their regions, so any two linked documents meet in some region. What stands in
    a region is a document's difference to the pivot, ``D(x)``, whose size is its distance.
@@ -39,14 +41,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paxflow.llm.chunks import pack, unpack
-from paxflow.llm.common import parts, whole_text
+from paxflow.llm.common import fresh, parts, whole_text
 from paxflow.plans.stage import staged
 
 WORDS = 5
+#: Part of its set that a document takes beyond the rarest quarter.
+SLACK = 0.05
 #: Counts in the fixed-size table of shingle frequencies, and the slices it is summed in.
 TABLE_BITS = 22
 SLICES = 64
@@ -78,6 +82,11 @@ def shingles(text: bytes) -> np.ndarray:
     return np.unique(mixed(out))
 
 
+def slack(n: int) -> int:
+    """Rare shingles that two linked documents share at least, by the size of the smaller one."""
+    return max(1, int(np.ceil(SLACK * n)))
+
+
 def _fixed_hashes() -> None:
     if os.environ.get("PYTHONHASHSEED", "random") == "random":
         raise RuntimeError("workers need one PYTHONHASHSEED, which Spark sets by default")
@@ -171,7 +180,7 @@ def _postings(classes, n_parts: int):
                 if rep == row:
                     ordered = rare[_bucket(own)].astype(np.uint64) << np.uint64(56)
                     ordered = np.sort(ordered | (own >> np.uint64(8)))
-                    keys.append(ordered[: len(own) - -(-3 * len(own) // 4) + 1])
+                    keys.append(ordered[: len(own) - -(-3 * len(own) // 4) + slack(len(own))])
                     owners.append(np.full(len(keys[-1]), row, np.int64))
             n = len(ids)
             yield pa.RecordBatch.from_arrays(
@@ -213,11 +222,13 @@ def _column(raw: bytes) -> np.ndarray:
 
 
 def _distinct(one: np.ndarray, two: np.ndarray) -> list[pa.Array]:
+    """Distinct pairs and how often each stands there."""
     order = np.lexsort((two, one))
     one, two = one[order], two[order]
     new = np.ones(len(one), bool)
     new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    return [pa.array(one[new], pa.int64()), pa.array(two[new], pa.int64())]
+    often = np.diff(np.append(np.flatnonzero(new), len(one)))
+    return [pa.array(x, pa.int64()) for x in (one[new], two[new], often)]
 
 
 def _stars(table: pa.Table) -> pa.Table:
@@ -232,7 +243,7 @@ def _stars(table: pa.Table) -> pa.Table:
     key, owner = key[order], owner[order]
     first = np.concatenate([[True], key[1:] != key[:-1]])
     pivot = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-    return pa.table(_distinct(owner[owner != pivot], pivot[owner != pivot]), ["x", "p"])
+    return pa.table(_distinct(owner[owner != pivot], pivot[owner != pivot]), ["x", "p", "c"])
 
 
 # Regions.
@@ -335,7 +346,7 @@ def _meetings(table: pa.Table) -> pa.Table:
                 j = j[own[j] < own[i]]
                 one.append(own[j])
                 two.append(np.full(len(j), own[i]))
-    met = _distinct(np.concatenate(one), np.concatenate(two))
+    met = _distinct(np.concatenate(one), np.concatenate(two))[:2]
     pivot = pa.array([table.column("p")[0].as_py()] * len(met[0]), pa.int64())
     return pa.table([pivot, *met], ["p", "x", "y"])
 
@@ -352,6 +363,19 @@ def _shared(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["u", "v"])
 
 
+def _kept(stars: DataFrame) -> DataFrame:
+    """Without the pivots a document meets least, so many that no linked pair loses all of its own.
+
+    Linked documents share ``slack`` of the smaller one at least, which has three quarters of the
+    larger one's size or more; each may leave less than half of that.
+    """
+    smaller = F.ceil(0.75 * F.col("n"))
+    spare = F.floor((F.greatest(F.lit(1), F.floor(SLACK * smaller)) - 1) / 2)
+    order = Window.partitionBy("x").orderBy("c", "p").rowsBetween(Window.unboundedPreceding, 0)
+    left = F.sum("c").over(order)
+    return stars.withColumn("left", left).filter(F.col("left") > spare).select("x", "p")
+
+
 def region_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
     """Links ``u, v`` that connect what is linked, from the members of all regions."""
     many = stars.groupBy("p").agg((F.count("*") > 1).alias("many"))
@@ -448,15 +472,17 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
         "shingle-postings",
     )
     rows = made.filter("row IS NOT NULL")
-    heads = rows.filter("digest IS NOT NULL").select("rep", "digest")
+    heads = rows.filter("digest IS NOT NULL").select("rep", "digest", "n")
     nodes = heads.groupBy("digest").agg(F.min("rep").alias("node"))
-    nodes = staged(heads.join(nodes, "digest").select("rep", "node"), "shingle-nodes")
+    nodes = staged(heads.join(nodes, "digest").select("rep", "node", "n"), "shingle-nodes")
     pairs = made.filter("part IS NOT NULL").select("part", "postings")
-    pairs = pairs.groupBy("part").applyInArrow(_stars, "x long, p long").distinct()
-    one = nodes.select(F.col("rep").alias("x"), F.col("node").alias("xn"))
+    pairs = pairs.groupBy("part").applyInArrow(_stars, "x long, p long, c long")
+    pairs = pairs.groupBy("x", "p").agg(F.sum("c").alias("c"))
+    one = nodes.select(F.col("rep").alias("x"), F.col("node").alias("xn"), "n")
     two = nodes.select(F.col("rep").alias("p"), F.col("node").alias("pn"))
     stars = pairs.join(one, "x").join(two, "p").filter("xn <> pn")
-    stars = staged(stars.select(F.col("xn").alias("x"), F.col("pn").alias("p")).distinct(), "stars")
+    stars = stars.groupBy(F.col("xn").alias("x"), F.col("pn").alias("p"), "n")
+    stars = staged(_kept(stars.agg(F.max("c").alias("c"))), "stars")
     ends = stars.select("x").unionByName(stars.select(F.col("p").alias("x")))
     flags = fixed_table(ends, _flags) > 0
     sets = staged(
@@ -469,7 +495,7 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
 
     named = numbered.select("row", "doc_id").join(rows.select("row", "rep", "n"), "row")
     least = named.filter("rep IS NOT NULL").groupBy("rep").agg(F.min("doc_id").alias("least"))
-    groups = nodes.join(labels, "node", "left").join(least, "rep")
+    groups = nodes.drop("n").join(labels, "node", "left").join(least, "rep")
     groups = groups.select("rep", F.coalesce("label", "node").alias("label"), "least")
     whole = groups.groupBy("label").agg(F.min("least").alias("component_id"))
     groups = groups.join(whole, "label").select("rep", "component_id", F.col("label").alias("first_row"))
@@ -483,3 +509,14 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
         F.when(F.col("rep").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("first_row", "row").alias("first_row"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The documents, all columns: of each component the one with the smallest identifier."""
+    row = fresh(docs, "scan_row")
+    found = _rows_with_components(docs, id_column, text_column).filter("doc_id <=> component_id")
+    stay = found.groupBy("first_row").agg(F.min("row").alias(row)).select(row)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(stay, row, "left_semi").drop(row)
