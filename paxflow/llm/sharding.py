@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paxflow.llm.common import running_starts, whole_text
+from paxflow.llm.common import fresh, running_starts, whole_text
 from paxflow.plans.stage import staged, staging_path
 
 BUCKET_BYTES = 16 << 20
@@ -81,13 +81,16 @@ def shuffle_to_shards(
     hot = max(BUCKET_ROWS, rows // 1000)
     often = docs.groupBy(id_column).agg(F.count("*").alias("n")).filter(F.col("n") > hot)
     hot_ids = [r[0] for r in often.select(id_column).collect()]
+    columns = docs.columns
     name = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
     key = seeded(F.lit(str(seed)), name)
-    if hot_ids:
-        repeated = F.col(id_column).isNull() if None in hot_ids else F.lit(False)
-        repeated = repeated | F.col(id_column).isin([x for x in hot_ids if x is not None])
-        own = F.monotonically_increasing_id().cast("string")
-        by_row = seeded(F.lit(str(seed)), name, own)
+    if hot_ids:  # their row numbers are stored, so that both passes see the same
+        own = fresh(docs, "scatter_row")
+        docs = staged(docs.withColumn(own, F.monotonically_increasing_id()), "shard-rows")
+        repeated = F.col(id_column).isin([x for x in hot_ids if x is not None])
+        if None in hot_ids:
+            repeated = repeated | F.col(id_column).isNull()
+        by_row = seeded(F.lit(str(seed)), name, F.col(own).cast("string"))
         key = F.when(F.coalesce(repeated, F.lit(False)), by_row).otherwise(key)
     bucket = F.pmod(key, F.lit(n_buckets))
     counts = docs.select(bucket.alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
@@ -98,7 +101,7 @@ def shuffle_to_shards(
         F.struct(
             F.col(id_column).alias("id"),
             F.crc32(whole_text(text_column).cast("binary")).alias("crc"),
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record"),
+            F.struct(*[F.col(f"`{c}`") for c in columns]).alias("record"),
         ).alias("x"),
     ).withColumn("grp", F.expr(f"bucket div {grouped}"))
     gathered = (
