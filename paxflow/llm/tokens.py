@@ -101,7 +101,7 @@ def _ids_of(chunks: set[str], path: str) -> dict[str, bytes]:
 
 
 #: Chunks whose ids a worker remembers as used of late; as many older ones are at hand.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 _known: dict[str, list[dict[str, bytes]]] = {}
 
 
