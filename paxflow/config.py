@@ -53,7 +53,6 @@ HOURLY_RATE = 25
 FRENCH_CODES = ("FR", "LF", "GP", "MQ", "RE")
 CALENDAR_START = "2023-01-01"
 CALENDAR_END = "2027-12-31"
-PERIODS_PER_ZONE = 100
 CHUNK_DAYS = 1095
 FRENCH_ZONES = (
     "Zone A", "Zone B", "Zone C",

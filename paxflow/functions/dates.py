@@ -9,23 +9,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 EPOCH_DAY = "1970-01-01"
+#: Text that ends in a zone after its time of day.
+ZONED = r"[0-9]{1,2}:[0-9]{2}.*(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2})?)$"
 
 
 def local_time(df: DataFrame, name: str) -> Column:
     """The time column as a zone-free timestamp.
 
-    Text is parsed (unreadable text becomes null), zoned timestamps lose their zone as UTC.
+    Text is parsed (unreadable text becomes null); what has a zone is taken to UTC and loses it.
     """
     kind = df.schema[name].dataType.typeName()
     if kind == "timestamp_ntz":
         return F.col(name)
     if kind == "timestamp":
-        return F.convert_timezone(
-            F.current_timezone(), F.lit("UTC"), F.col(name).cast("timestamp_ntz")
-        )
+        return utc(F.col(name))
     if kind == "date":
         return F.col(name).cast("timestamp_ntz")
-    return F.expr(f"try_cast(`{name}` AS timestamp_ntz)")
+    text = F.trim(F.col(name))
+    return F.when(text.rlike(ZONED), utc(text.try_cast("timestamp"))).otherwise(
+        text.try_cast("timestamp_ntz")
+    )
+
+
+def utc(instant: Column) -> Column:
+    """A zoned timestamp as the UTC clock shows it; never by way of a local clock."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
 
 def iso_day(text: Column) -> Column:

@@ -41,7 +41,7 @@ def single_precision(df: DataFrame) -> DataFrame:
     )
 
 
-def add_features(df: DataFrame, roles: Roles = Roles(), layout: str = "auto") -> DataFrame:
+def add_features(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Date features, then lags, rolling, lagged windows and momentum overall and per group,
     then interactions with the seats.
 
@@ -52,7 +52,7 @@ def add_features(df: DataFrame, roles: Roles = Roles(), layout: str = "auto") ->
     columns, groups = list(out.columns), [[], *[[g] for g in roles.groups]]
     for keys in groups:
         out = attach(out, history_packed(df, keys, roles), roles)
-        out = attach(out, rolling_packed(df, keys, layout=layout, roles=roles), roles)
+        out = attach(out, rolling_packed(df, keys, roles=roles), roles)
     unpacked = [c for keys in groups for c in (*history_columns(keys), *rolling_columns(keys))]
     out = out.selectExpr(*[f"`{c}`" for c in columns], *unpacked)
     for keys in groups:

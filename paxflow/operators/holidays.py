@@ -17,7 +17,6 @@ from paxflow.config import (
     FRENCH_CODES,
     FRENCH_ZONES,
     HOLIDAY_WORDS,
-    PERIODS_PER_ZONE,
     Roles,
 )
 from paxflow.functions import dates as D
@@ -101,9 +100,8 @@ def zone_periods(
     start: str = CALENDAR_START,
     end: str = CALENDAR_END,
     words=HOLIDAY_WORDS,
-    per_zone: int = PERIODS_PER_ZONE,
 ) -> DataFrame:
-    """School-holiday periods of the listed zones that overlap the calendar, earliest first.
+    """School-holiday periods of the listed zones that overlap the calendar.
 
     ``records`` has zones, location, description, start_date, end_date, annee_scolaire, population.
     """
@@ -115,7 +113,7 @@ def zone_periods(
         & (D.iso_day(F.col("end_date")) >= F.lit(start).cast("date"))
         & (D.iso_day(F.col("start_date")) <= F.lit(end).cast("date"))
     )
-    named = overlapping.select(
+    return overlapping.select(
         F.explode(F.array_distinct(F.array("zones", "location"))).alias("zone"),
         "description",
         D.iso_day(F.col("start_date")).alias("start"),
@@ -123,12 +121,6 @@ def zone_periods(
         F.col("annee_scolaire").alias("school_year"),
         "population",
     ).where(F.col("zone").isin(list(zones)))
-    # The cap is the calendar service's page size, part of the result; the table is a few
-    # hundred rows of periods.
-    rank = F.row_number().over(
-        Window.partitionBy("zone").orderBy("start", "end", "description", "population")
-    )
-    return named.withColumn("_n", rank).where(F.col("_n") <= per_zone).drop("_n")
 
 
 def zone_lookup(records: DataFrame) -> DataFrame:

@@ -51,8 +51,8 @@ def forecast_join(
 ) -> DataFrame:
     """Actuals next to predictions, for one day or for all; ``how='left'`` keeps every actual."""
     if day:
-        actuals = actuals.where(D.on_day(F.col(roles.time), day))
-        predictions = predictions.where(D.on_day(F.col(roles.time), day))
+        actuals = actuals.where(D.on_day(D.local_time(actuals, roles.time), day))
+        predictions = predictions.where(D.on_day(D.local_time(predictions, roles.time), day))
     keys = flight_keys(actuals, predictions, roles)
     shared = [c for c in predictions.columns if c in actuals.columns and c not in keys]
     return join_on(actuals, predictions.drop(*shared), keys, how, null_safe)

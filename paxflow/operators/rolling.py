@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from paxflow.config import MOMENTUM_PAIRS, ROLLING_ROWS, STATISTICS, Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio
-from paxflow.plans.blocks import BLOCK, OWNED, POSITION, needs_blocks, previous_value, row_blocks
+from paxflow.plans.blocks import BLOCK, OWNED, POSITION, previous_value, row_blocks
 from paxflow.plans.sliding import STATS, VALUE, row_frames
 
 
@@ -24,7 +24,7 @@ def narrow(df: DataFrame, keys: list[str], roles: Roles) -> DataFrame:
     return df.select(
         F.col(roles.row_id),
         D.local_time(df, roles.time).alias(roles.time),
-        F.col(roles.target).cast("double").alias(VALUE),
+        F.expr(f"nullif(CAST(`{roles.target}` AS DOUBLE), double('NaN'))").alias(VALUE),
         *[F.expr(f"coalesce(concat('=', CAST(`{k}` AS STRING)), '')").alias(k) for k in keys],
     )
 
@@ -61,7 +61,6 @@ def rolling_packed(
     windows: dict[str, int] = ROLLING_ROWS,
     stats=STATISTICS,
     gap: int = 2,
-    layout: str = "auto",
     block_rows: int | None = None,
     roles: Roles = Roles(),
 ) -> DataFrame:
@@ -72,17 +71,11 @@ def rolling_packed(
     """
     rows = narrow(df, keys, roles)
     order = [roles.time, roles.row_id]
-    if not keys or needs_blocks(rows, keys, layout):
-        reach = max(windows.values()) + gap - 1
-        blocks = row_blocks(rows, keys, order, reach, block_rows)
-        sorted_rows = blocks.repartition(BLOCK).sortWithinPartitions(BLOCK, POSITION)
-        segment, keep = [BLOCK, *keys], [roles.row_id, OWNED]
-    else:
-        sorted_rows = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
-        segment, keep = list(keys), [roles.row_id]
-    framed = row_frames(sorted_rows, segment, keep, windows, gap, stats)
-    if OWNED in keep:
-        framed = framed.where(OWNED)
+    reach = max(windows.values()) + gap - 1
+    blocks = row_blocks(rows, keys, order, reach, block_rows)
+    sorted_rows = blocks.repartition(BLOCK).sortWithinPartitions(BLOCK, POSITION)
+    segment, keep = [BLOCK, *keys], [roles.row_id, OWNED]
+    framed = row_frames(sorted_rows, segment, keep, windows, gap, stats).where(OWNED)
     return framed.select(roles.row_id, F.col(STATS).alias(packed_name(keys, "rolling")))
 
 
@@ -103,7 +96,7 @@ def rolling_stats(
     """Row id and ``{group}_rolling_{window}_{stat}`` over the group's earlier rows.
 
     A window of n covers the rows from n+gap-1 to ``gap`` (2) before the current one, in (time, id)
-    order within the group. ``layout`` says how the rows are spread, see ``plans.blocks``.
+    order within the group. Rows are spread in even blocks, see ``plans.blocks``.
     """
     packed = rolling_packed(df, keys, windows, stats, roles=roles, **options)
     return packed.selectExpr(roles.row_id, *rolling_columns(keys, windows, stats))
@@ -135,9 +128,8 @@ def shift_one(
     df: DataFrame,
     keys: list[str],
     name: str,
-    layout: str = "auto",
     roles: Roles = Roles(),
 ) -> DataFrame:
     """Target of the group's row before."""
     order = [roles.time, roles.row_id]
-    return previous_value(df, list(keys), order, F.col(roles.target), name, layout)
+    return previous_value(df, list(keys), order, F.col(roles.target), name)

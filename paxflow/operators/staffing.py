@@ -20,10 +20,14 @@ def _total(values: Column) -> Column:
 def daily_hours(
     df: DataFrame, pax: str, keys: list[str] = (), roles: Roles = Roles()
 ) -> DataFrame:
-    """One row per day and key with ``pax`` as 24 hourly sums; hours without rows hold 0."""
+    """One row per day and key with ``pax`` as 24 hourly sums; hours without rows hold 0.
+
+    Rows without a time belong to no day.
+    """
     ts = D.local_time(df, roles.time)
     hourly = (
-        df.select(F.to_date(ts).alias("day"), F.hour(ts).alias("_hour"), *keys, pax)
+        df.where(ts.isNotNull())
+        .select(F.to_date(ts).alias("day"), F.hour(ts).alias("_hour"), *keys, pax)
         .groupBy("day", *keys, "_hour")
         .agg(F.sum(pax).alias("_pax"))
     )

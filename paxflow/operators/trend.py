@@ -21,7 +21,6 @@ def trend_stats(
     short_days: int = 7,
     long_days: int = 30,
     stats=STATISTICS,
-    layout: str = "auto",
     roles: Roles = Roles(),
 ) -> DataFrame:
     """Row id and ``{group}_trend_{s}D_vs_{l}D_{stat}``.
@@ -38,7 +37,7 @@ def trend_stats(
     clock = D.micro_number(F.col(roles.time)).alias(_CLOCK)
     rows = narrow(df, keys, roles).where(F.col(roles.time).isNotNull())
     counted = (
-        previous_value(rows, keys, order, F.col(VALUE), "_shifted", layout)
+        previous_value(rows, keys, order, F.col(VALUE), "_shifted")
         .groupBy(*keys, clock, F.col("_shifted").alias(VALUE))
         .agg(F.count(F.lit(1)).alias(WEIGHT))
     )

@@ -1,7 +1,6 @@
 """Even row blocks for windows over ordered rows, whatever the size of a group.
 
-A window partitioned by group sends a whole group to one task. Where a group may be large, the rows
-are instead sorted once across the cluster by (group, time, id) and cut into blocks of equal size;
+A window partitioned by group sends a whole group to one task. The rows are instead sorted once across the cluster by (group, time, id) and cut into blocks of equal size;
 each block also receives the last rows of the block before it, enough to fill every frame. A frame
 never leaves its group because the group stays part of the window's partition key.
 """
@@ -16,31 +15,13 @@ BLOCK = "_block"
 POSITION = "_position"
 OWNED = "_owned"
 
-# Rows of one group that a single task may sort and scan.
-GROUP_ROWS = 200_000
-# Rows per block: the upper bound keeps a task's memory fixed, the lower one keeps the
-# share of repeated rows small.
-BLOCK_ROWS = 200_000
-SMALLEST_BLOCK = 4_000
+# Rows per block, whatever the size of the data: it bounds a task's memory, and being many times
+# what frames look back at, keeps the share of repeated rows small.
+BLOCK_ROWS = 20_000
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest group; reads the key columns only and combines before the shuffle."""
-    sizes = df.groupBy(*keys).count() if keys else df.groupBy().count()
-    return sizes.agg(F.max("count")).first()[0] or 0
-
-
-def needs_blocks(df: DataFrame, keys: list[str], layout: str) -> bool:
-    """``layout`` is 'blocks', 'groups' (the caller knows the groups are small) or 'auto'."""
-    if layout == "auto":
-        return largest_group(df, keys) > GROUP_ROWS
-    if layout not in ("blocks", "groups"):
-        raise ValueError(f"unknown layout {layout!r}")
-    return layout == "blocks"
-
-
 def row_blocks(
     df: DataFrame, keys: list[str], order: list[str], reach: int, block_rows: int | None = None
 ) -> DataFrame:
@@ -64,20 +45,10 @@ def row_blocks(
         .select(
             "_part",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
-            F.sum("_rows").over(Window.partitionBy()).alias("_total"),
-        )
-    )
-    smallest = max(SMALLEST_BLOCK, 4 * reach)
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    size = (
-        F.lit(block_rows)
-        if block_rows
-        else F.least(
-            F.lit(max(BLOCK_ROWS, smallest)),
-            F.greatest(F.lit(smallest), F.ceil(F.col("_total") / F.lit(2 * slots))),
         )
     )
-    if block_rows and block_rows < reach:
+    size = block_rows or max(BLOCK_ROWS, 4 * reach)
+    if size < reach:
         raise ValueError("a block must hold at least the rows a frame reaches back")
 
     placed = numbered.join(F.broadcast(starts), "_part").select(
@@ -85,10 +56,9 @@ def row_blocks(
         (F.col("_start") + F.col("_serial").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias(
             POSITION
         ),
-        size.cast("long").alias("_size"),
     )
-    home = F.floor(F.col(POSITION) / F.col("_size"))
-    tail = F.col(POSITION) % F.col("_size") >= F.col("_size") - F.lit(reach)
+    home = F.floor(F.col(POSITION) / F.lit(size))
+    tail = F.col(POSITION) % F.lit(size) >= F.lit(size - reach)
     return (
         placed.withColumn("_home", home)
         .withColumn(
@@ -98,17 +68,14 @@ def row_blocks(
             ),
         )
         .withColumn(OWNED, F.col(BLOCK) == F.col("_home"))
-        .drop("_home", "_size")
+        .drop("_home")
     )
 
 
 def previous_value(
-    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str, layout: str = "auto"
+    df: DataFrame, keys: list[str], order: list[str], value: Column, name: str
 ) -> DataFrame:
     """Value of the row before, within the group."""
-    if not needs_blocks(df, keys, layout):
-        spec = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.lag(value, 1).over(spec))
     spec = Window.partitionBy(BLOCK, *keys).orderBy(POSITION)
     return (
         row_blocks(df, keys, order, reach=1)

@@ -14,15 +14,10 @@ def foreign_periods(payloads: DataFrame, text: str = "value") -> DataFrame:
     """(country, start, end) from one JSON text per country and chunk.
 
     The text is a list of periods or an object that holds it under ``holidays``. Entries that are
-    no objects or lack a date are left out.
+    no objects or lack a date are left out; texts that hold no such list are in
+    :func:`rejected_payloads`.
     """
-    raw = F.trim(F.col(text))
-    # A bare list is put into an object, so that each text is parsed once. Entries are taken as
-    # text first: one malformed entry does not void its list.
-    wrapped = F.when(raw.startswith("["), F.concat(F.lit('{"holidays":'), raw, F.lit("}")))
-    entries = F.from_json(
-        F.coalesce(wrapped, raw), "struct<holidays:array<string>>"
-    )["holidays"]
+    entries = _entries(text)
     item = F.from_json("_entry", "struct<startDate:string,endDate:string>")
     # As a generator the entry is parsed once; the filter below cannot repeat it.
     return (
@@ -33,6 +28,24 @@ def foreign_periods(payloads: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def _bare(text: str) -> Column:
+    return F.regexp_replace(F.col(text), r"^\s+|\s+$", "")
+
+
+def _entries(text: str) -> Column:
+    # A bare list is put into an object, so that each text is parsed once. Entries are taken as
+    # text first: one malformed entry does not void its list.
+    raw = _bare(text)
+    wrapped = F.when(raw.startswith("["), F.concat(F.lit('{"holidays":'), raw, F.lit("}")))
+    return F.from_json(F.coalesce(wrapped, raw), "struct<holidays:array<string>>")["holidays"]
+
+
+def rejected_payloads(payloads: DataFrame, text: str = "value", french: bool = False) -> DataFrame:
+    """The payloads that cannot be read, whole: malformed text or another kind of object."""
+    found = F.from_json(_bare(text), _RECORDS)["results"] if french else _entries(text)
+    return payloads.where(found.isNull())
+
+
 def day_of(text: Column) -> Column:
     return F.substring_index(text, "T", 1).try_cast("date")
 
@@ -40,7 +53,7 @@ def day_of(text: Column) -> Column:
 def zone_records(payloads: DataFrame, text: str = "value") -> DataFrame:
     """School-calendar records from JSON texts of the form {total_count, results: [...]}."""
     return payloads.select(
-        F.inline(F.from_json(F.col(text), _RECORDS)["results"])
+        F.inline(F.from_json(_bare(text), _RECORDS)["results"])
     )
 
 
@@ -63,5 +76,8 @@ def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_zone_lookup(lookup: DataFrame, path: str) -> None:
-    """Saved as JSON lines; a table of districts, far below a thousand rows."""
-    lookup.write.mode("overwrite").json(path)
+    """Saved as the one object that :func:`read_zone_lookup` reads; a table of districts, far below
+    a thousand rows."""
+    found = F.struct("zone", F.col("is_holiday").cast("string").alias("is_holiday"))
+    whole = lookup.agg(F.map_from_entries(F.collect_list(F.struct("target", found))).alias("m"))
+    whole.select(F.to_json("m").alias("value")).write.mode("overwrite").text(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paxflow.config import Roles
 from paxflow.operators import lags, rolling, trend
-from paxflow.plans.blocks import largest_group, row_blocks
+from paxflow.plans.blocks import row_blocks
 
 ROLES = Roles(time="ts", row_id="id", target="pax", groups=("grp",))
 SCHEMA = "id BIGINT, ts TIMESTAMP_NTZ, grp STRING, pax INT"
@@ -58,8 +58,8 @@ def by_group(rows, keys):
 
 
 @pytest.mark.parametrize("keys", [[], ["grp"]])
-@pytest.mark.parametrize("layout,block", [("groups", None), ("blocks", 12), ("blocks", None)])
-def test_rolling(spark, keys, layout, block):
+@pytest.mark.parametrize("block", [12, 60, 200_000, None])
+def test_rolling(spark, keys, block):
     rows = make_rows()
     windows = {"short": 3, "long": 10}
     found = {
@@ -68,7 +68,6 @@ def test_rolling(spark, keys, layout, block):
             spark.createDataFrame(rows, SCHEMA),
             keys,
             windows,
-            layout=layout,
             block_rows=block,
             roles=ROLES,
         ).collect()
@@ -101,19 +100,10 @@ def test_blocks_must_hold_the_reach(spark):
         row_blocks(df, [], ["ts", "id"], reach=5, block_rows=4)
 
 
-def test_largest_group(spark):
-    df = spark.createDataFrame(make_rows(), SCHEMA)
-    sizes = [len(g) for g in by_group(make_rows(), ["grp"]).values()]
-    assert largest_group(df, ["grp"]) == max(sizes)
-    assert largest_group(df, []) == 401
-    assert largest_group(df.limit(0), ["grp"]) == 0
-
-
-@pytest.mark.parametrize("layout", ["groups", "blocks"])
-def test_shift(spark, layout):
+def test_shift(spark):
     rows = make_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    found = {r.id: r.before for r in rolling.shift_one(df, ["grp"], "before", layout, ROLES).collect()}
+    found = {r.id: r.before for r in rolling.shift_one(df, ["grp"], "before", ROLES).collect()}
     for group in by_group(rows, ["grp"]).values():
         for i, row in enumerate(group):
             assert found[row[0]] == (group[i - 1][3] if i else None)
@@ -125,7 +115,7 @@ def test_trend(spark, keys):
     found = {
         r.id: r
         for r in trend.trend_stats(
-            spark.createDataFrame(rows, SCHEMA), keys, 2, 7, layout="blocks", roles=ROLES
+            spark.createDataFrame(rows, SCHEMA), keys, 2, 7, roles=ROLES
         ).collect()
     }
     prefix = "grp" if keys else "global"

@@ -478,7 +478,7 @@ def order_periods(key: str) -> str:
     return f"""(
     SELECT {name} AS {key}, CAST(o_orderdate AS DATE) AS "start",
            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 AS INT) AS "end"
-    FROM orders {joins if key == "country" else ""} WHERE o_totalprice > 400000)"""
+    FROM orders {joins if key == "country" else ""})"""
 
 
 def period_days(key: str) -> str:
@@ -553,7 +553,6 @@ WITH n AS (
 SELECT * FROM n
 WHERE zone IN ('Zone A', 'Zone B', 'Zone C', '1-URGENT')
   AND "end" >= DATE '1996-01-01' AND "start" <= DATE '1999-12-31'
-QUALIFY row_number() OVER (PARTITION BY zone ORDER BY "start", "end", description, population) <= 100
 """
 ORACLE["zone_lookup"] = f"""
 WITH n AS (

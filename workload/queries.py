@@ -90,7 +90,7 @@ def rolling_global(spark, sf_dir):
 @query
 def rolling_by_terminal(spark, sf_dir):
     return rounded(
-        rolling.rolling_stats(V.orders(spark, sf_dir), ["terminal"], layout="blocks", roles=ROLES)
+        rolling.rolling_stats(V.orders(spark, sf_dir), ["terminal"], roles=ROLES)
     )
 
 
@@ -102,7 +102,7 @@ def rolling_by_flight(spark, sf_dir):
 @query
 def shift_by_terminal(spark, sf_dir):
     rows = V.events(spark, sf_dir).select("id", "ts", "terminal", "pax")
-    return rolling.shift_one(rows, ["terminal"], "pax_before", "blocks", ROLES)
+    return rolling.shift_one(rows, ["terminal"], "pax_before", ROLES)
 
 
 @query
@@ -113,7 +113,7 @@ def trend_by_terminal(spark, sf_dir):
 @query
 def trend_global(spark, sf_dir):
     return rounded(
-        trend.trend_stats(V.orders(spark, sf_dir), [], 7, 30, layout="blocks", roles=ROLES)
+        trend.trend_stats(V.orders(spark, sf_dir), [], 7, 30, roles=ROLES)
     )
 
 

@@ -129,7 +129,7 @@ def order_periods(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
         name = F.col("n_name")
     else:
         name = F.col("o_orderpriority")
-    return rows.where(F.col("o_totalprice") > 400_000).select(
+    return rows.select(
         name.alias(key), start.alias("start"), F.date_add(start, days).alias("end")
     )
 
