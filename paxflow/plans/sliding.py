@@ -30,9 +30,58 @@ class _Frames(BaseIndexer):
         return self.first, self.stop
 
 
+def _merged(one: tuple, two: tuple) -> tuple:
+    """Counts, means, squared deviations and sums of two disjoint sets of rows taken together."""
+    (n1, m1, s1, t1), (n2, m2, s2, t2) = one, two
+    n = n1 + n2
+    share = n2 / np.where(n > 0, n, 1.0)
+    gap = m2 - m1
+    return n, m1 + gap * share, s1 + s2 + gap * gap * n1 * share, t1 + t2
+
+
+def _spread(values: np.ndarray, weights: np.ndarray, first: np.ndarray, stop: np.ndarray) -> tuple:
+    """Count, squared deviations and sum of each frame, from the rows in it alone.
+
+    Rows are merged in pairs, pairs in fours, and so on; a frame is put together from the few nodes
+    that cover it, so what lies outside, however large, leaves no rounding error behind.
+    """
+    level = (weights, values, np.zeros(len(values)), weights * values)
+    left, right = first.copy(), np.maximum(stop, first)
+    low = high = (np.zeros(len(first)),) * 4
+    while (left < right).any():
+        level = tuple(np.append(x, 0.0) for x in level)  # a node of no rows to point at
+        none = len(level[0]) - 1
+        open_ = left < right
+        odd = open_ & (left % 2 == 1)
+        low = _merged(low, tuple(x[np.where(odd, left, none)] for x in level))
+        left = left + odd
+        odd = open_ & (right % 2 == 1) & (left < right)
+        high = _merged(tuple(x[np.where(odd, right - 1, none)] for x in level), high)
+        right = right - odd
+        left, right = left // 2, right // 2
+        even = none + none % 2
+        level = tuple(x[:even] for x in level)
+        level = _merged(tuple(x[::2] for x in level), tuple(x[1::2] for x in level))
+    count, _, squares, total = _merged(low, high)
+    return count, squares, total
+
+
 def _moments(values: pd.Series, first: np.ndarray, stop: np.ndarray, stats) -> dict:
     frames = values.rolling(_Frames(first=first, stop=stop), min_periods=1)
-    return {stat: getattr(frames, stat)().to_numpy() for stat in stats}
+    out = {s: getattr(frames, s)().to_numpy() for s in stats if s not in ("mean", "std")}
+    known = values.notna().to_numpy()
+    out |= _mean_and_std(values.fillna(0.0).to_numpy(), known.astype("float64"), first, stop, stats)
+    return {stat: out[stat] for stat in stats}
+
+
+def _mean_and_std(values, weights, first, stop, stats) -> dict:
+    if not {"mean", "std"} & set(stats):
+        return {}
+    count, squares, total = _spread(values, weights, first, stop)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        deviation = np.sqrt(np.where(count > 1, squares / (count - 1), np.nan))
+        mean = np.where(count > 0, total / count, np.nan)
+    return {"mean": mean, "std": deviation}
 
 
 def _ranked(order: np.ndarray, weights: np.ndarray, first, stop, rank) -> np.ndarray:
@@ -64,25 +113,11 @@ def _weighted_moments(
     """As ``_moments`` where a row stands for ``weights`` equal rows; missing values do not count."""
     weights = np.where(values.isna(), 0.0, weights)
     known = values.fillna(0.0).to_numpy()
-    # Whole-number centre: sums of whole numbers stay exact.
-    shifted = known - np.rint(known.mean())
-
-    def over(cells: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(cells)])
-        return total[stop] - total[first]
-
-    count = over(weights)
+    total = np.concatenate([[0.0], np.cumsum(weights)])
+    count = total[stop] - total[first]
     some = count > 0
     out = _moments(values, first, stop, ("min", "max"))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        if "mean" in stats:
-            out["mean"] = np.where(some, over(weights * known) / count, np.nan)
-        if "std" in stats:
-            total = over(weights * shifted)
-            spread = over(weights * shifted**2) - total**2 / count
-            # Equal values have no spread, whatever the last bits of the sums say.
-            spread = np.where(out["min"] == out["max"], 0.0, np.maximum(spread, 0.0))
-            out["std"] = np.where(count > 1, np.sqrt(spread / (count - 1)), np.nan)
+    out |= _mean_and_std(known, weights, first, stop, stats)
     if "median" in stats:
         distinct, order = np.unique(known, return_inverse=True)
         middle = [np.floor((count - 1) / 2), np.floor(count / 2)]

@@ -189,6 +189,15 @@ def momentum_cells(keys: list[str]) -> list[str]:
 
 ORACLE["rolling_global"] = rolling_query(EVENTS, [])
 ORACLE["rolling_by_terminal"] = rolling_query(ORDERS, ["terminal"])
+SPIKED = f"""(
+    SELECT * REPLACE (CASE WHEN id % 997 = 0 THEN 1000000000 ELSE pax END AS pax) FROM {ORDERS})"""
+ORACLE["rolling_spike"] = f"""
+SELECT id, {", ".join(
+    f"CASE WHEN terminal_rolling_{w}_max < 1000000 THEN {r(f'terminal_rolling_{w}_{s}', f'terminal_rolling_{w}_{s}').rsplit(' AS ', 1)[0]} END"
+    f" AS terminal_rolling_{w}_{s}"
+    for w in ROLLING_ROWS for s in ("mean", "std"))}
+FROM ({rolling(SPIKED, ["terminal"])})
+"""
 ORACLE["rolling_by_flight"] = rolling_query(EVENTS, ["flight"])
 ORACLE["shift_by_terminal"] = f"""
 SELECT id, ts, terminal, pax,

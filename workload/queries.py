@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paxflow.config import ROLLING_ROWS
 from paxflow.functions import text as X
 from paxflow.operators import calendar, features, holidays, hourly, lags, metrics, rolling
 from paxflow.operators import model as M
@@ -94,6 +95,21 @@ def rolling_by_terminal(spark, sf_dir):
     )
 
 
+@query
+def rolling_spike(spark, sf_dir):
+    """Frames near a value of a thousand millions: those without it must show no trace of it."""
+    rows = V.orders(spark, sf_dir)
+    spike = F.when(F.col("id") % 997 == 0, 1_000_000_000).otherwise(F.col("pax"))
+    found = rolling.rolling_stats(rows.withColumn("pax", spike), ["terminal"], roles=ROLES)
+    name = "terminal_rolling_{}_{}"
+    cells = [
+        F.when(F.col(name.format(w, "max")) < 1_000_000, F.col(name.format(w, s))).alias(name.format(w, s))
+        for w in ROLLING_ROWS
+        for s in ("mean", "std")
+    ]
+    return rounded(found.select("id", *cells))
+
+
 @query
 def rolling_by_flight(spark, sf_dir):
     return rounded(rolling.rolling_stats(V.events(spark, sf_dir), ["flight"], roles=ROLES))

@@ -29,11 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def digits(name: str) -> int:
     """Digits that a double column is compared by.
 
-    Deviations come from running sums, good to about 1e-12 of their size: four digits keep them on
-    the same side of a rounding edge. Means of whole numbers often end in 5 after four digits but
-    not after six.
+    Means of whole numbers often end in 5 after four digits but not after six.
     """
-    return 4 if name.endswith("_std") else 6
+    return 6
 
 
 def rounded(df: DataFrame) -> DataFrame:
