@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from paxflow.config import Roles
@@ -22,6 +22,10 @@ from paxflow.sources.tables import stored, write_parquet
 MISSING = -1.0e6
 
 
+#: Parts of the training rows; a part is described by the means of the others.
+FOLDS = 5
+
+
 @dataclass(frozen=True)
 class Boosting:
     """Settings of the trees. One boosting round is a chain of Spark jobs, so rounds are few and
@@ -122,10 +126,47 @@ def target_means(
     )
 
 
+def held_out_means(
+    train: DataFrame, text: list[str], target: str, row_id: str, smoothing: float = 20.0
+) -> DataFrame:
+    """(source, category, fold, mean): each category's mean over the rows of all other folds.
+
+    A row that is trained on must not be described by its own target. Its fold is a hash of its id.
+    """
+    y = F.col(target).cast("double")
+    overall = train.select(F.avg(y)).first()[0]
+    places = [F.struct(F.lit(c).alias("source"), F.coalesce(c, F.lit("")).alias("category")) for c in text]
+    if not text:
+        places = [F.struct(F.lit("").alias("source"), F.lit("").alias("category"))]
+    folds = (
+        train.select(y.alias("_y"), fold_of(row_id).alias("fold"), F.inline(F.array(*places)))
+        .groupBy("source", "category", "fold")
+        .agg(F.sum("_y").alias("_sum"), F.count("_y").alias("_n"))
+    )
+    all_folds = folds.groupBy("source", "category").agg(
+        F.sum("_sum").alias("_sums"), F.sum("_n").alias("_ns")
+    )
+    others = (F.col("_sums") - F.col("_sum"), F.col("_ns") - F.col("_n"))
+    mean = (others[0] + F.lit(smoothing * overall)) / (others[1] + F.lit(smoothing))
+    return folds.join(all_folds, ["source", "category"]).select(
+        "source", "category", "fold", mean.alias("mean")
+    )
+
+
+def fold_of(row_id: str) -> Column:
+    return F.pmod(F.xxhash64(row_id), F.lit(FOLDS)).cast("int")
+
+
 def with_inputs(
-    df: DataFrame, means: DataFrame, numeric: list[str], text: list[str]
+    df: DataFrame,
+    means: DataFrame,
+    numeric: list[str],
+    text: list[str],
+    held_out: DataFrame | None = None,
+    row_id: str | None = None,
 ) -> DataFrame:
-    """Adds ``features``: numbers with gaps marked, texts as means.
+    """Adds ``features``: numbers with gaps marked, texts as means; with ``held_out`` as the means of
+    the row's fold.
 
     Each text is looked up by an equi join; Spark broadcasts a lookup that is small and shuffles
     one that is not.
@@ -133,12 +174,14 @@ def with_inputs(
     overall = means.where(F.col("source") == "").select("mean").first()[0]
     out = df
     for name in text:
-        lookup = means.where(F.col("source") == name).select(
-            F.col("category").alias("_category"), F.col("mean").alias(f"_mean_{name}")
-        )
-        out = out.join(
-            lookup, F.coalesce(name, F.lit("")) == F.col("_category"), "left"
-        ).drop("_category")
+        source = means if held_out is None else held_out
+        columns = [F.col("category").alias("_category"), F.col("mean").alias(f"_mean_{name}")]
+        match = F.coalesce(name, F.lit("")) == F.col("_category")
+        if held_out is not None:
+            columns.append(F.col("fold").alias("_fold"))
+            match = match & (fold_of(row_id) == F.col("_fold"))
+        lookup = source.where(F.col("source") == name).select(*columns)
+        out = out.join(lookup, match, "left").drop("_category", "_fold")
     ready = out.select(
         *df.columns,
         *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_in_{c}") for c in numeric],
@@ -159,18 +202,21 @@ def fit(
     """Train on ``train``; stop early on the rows of ``valid``."""
     numeric, text = feature_columns(train, [roles.row_id, target])
     known = train.where(F.col(target).isNotNull())
+    if known.isEmpty():
+        raise ValueError(f"no training row has a {target}")
     # Staged: every boosting round reads these again.
     means = staged(target_means(known, text, target, settings.smoothing), "target-means")
-    rows = known.withColumn("is_validation", F.lit(False))
-    if valid is not None:
-        held = valid.where(F.col(target).isNotNull()).withColumn("is_validation", F.lit(True))
-        rows = rows.unionByName(held)
-    table = staged(
-        with_inputs(rows, means, numeric, text).select(
-            "features", F.col(target).cast("double").alias("label"), "is_validation"
-        ),
-        "training-rows",
+    others = staged(
+        held_out_means(known, text, target, roles.row_id, settings.smoothing), "held-out-means"
     )
+    label = F.col(target).cast("double").alias("label")
+    rows = with_inputs(known, means, numeric, text, others, roles.row_id).select(
+        "features", label, F.lit(False).alias("is_validation")
+    )
+    if valid is not None:
+        held = with_inputs(valid.where(F.col(target).isNotNull()), means, numeric, text)
+        rows = rows.unionByName(held.select("features", label, F.lit(True).alias("is_validation")))
+    table = staged(rows, "training-rows")
     trees = GBTRegressor(
         labelCol="label",
         featuresCol="features",

@@ -651,12 +651,12 @@ LEFT JOIN ab ON z.country = ab.country AND z.day = ab.day
 ORACLE["split_summary"] = f"""
 SELECT CASE WHEN ts < TIMESTAMP '1999-01-01' THEN 'train' WHEN ts < TIMESTAMP '2000-07-01' THEN 'valid'
             ELSE 'test' END AS split, count(*) AS rows, min(ts) AS first_time, max(ts) AS last_time
-FROM {ORDERS} WHERE ts < TIMESTAMP '2001-01-01' GROUP BY 1
+FROM {ORDERS} WHERE ts < TIMESTAMP '2001-08-02' GROUP BY 1
 """
 ORACLE["split_rows"] = f"""
 SELECT id, ts, CASE WHEN ts < TIMESTAMP '1999-01-01' THEN 'train'
                     WHEN ts < TIMESTAMP '2000-07-01' THEN 'valid'
-                    WHEN ts <= TIMESTAMP '2001-01-01' THEN 'test' END AS split
+                    WHEN ts <= TIMESTAMP '2001-08-01' THEN 'test' END AS split
 FROM {ORDERS}
 """
 
@@ -671,3 +671,10 @@ SELECT s.source AS source, s.category AS category,
        {r('(sum(pax) + 20.0::DOUBLE * any_value(overall)) / (count(*) + 20.0::DOUBLE)', 'mean')}
 FROM l CROSS JOIN o GROUP BY s.source, s.category
 """
+
+TESTED = f"FROM {ORDERS} WHERE ts >= TIMESTAMP '2000-07-01' AND ts < TIMESTAMP '2001-08-02'"
+ORACLE["gbt_forecast"] = f"SELECT id, ts, pax, true AS valid {TESTED}"
+# The inputs: 14 date features, the seats and three texts.
+ORACLE["feature_importance"] = """
+SELECT 18 AS inputs, true AS sums_to_one, true AS none_negative, true AS top_falls
+"""

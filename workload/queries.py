@@ -19,8 +19,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-LIMITS = split.Limits("1999-01-01", "2000-07-01", "2001-01-01")
-INCLUSIVE = split.Limits("1999-01-01", "2000-07-01", "2001-01-01", inclusive_end=True)
+LIMITS = split.Limits("1999-01-01", "2000-07-01", "2001-08-02")
+INCLUSIVE = split.Limits("1999-01-01", "2000-07-01", "2001-08-01", inclusive_end=True)
 DAYS = {"month": "1 month", "1week": "7 days"}
 EVENT_WINDOWS = {"lag7_win6": (7, 6), "lag1_win2": (1, 2)}
 BOOSTING = M.Boosting(rounds=10, depth=5)
@@ -487,10 +487,23 @@ def target_means(spark, sf_dir):
 
 @query
 def gbt_forecast(spark, sf_dir):
+    """Every row of the test set: its forecast is a whole number and not negative."""
     model, test = _fitted(spark, sf_dir)
-    return M.predict(model, test, "pred_pax").select("id", "ts", "pax", "pred_pax")
+    found = M.predict(model, test, "pred_pax")
+    valid = (F.col("pred_pax") >= 0) & (F.col("pred_pax") == F.floor("pred_pax"))
+    return found.select("id", "ts", "pax", valid.alias("valid"))
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return M.feature_importance(_fitted(spark, sf_dir)[0])
+    """The importances: how many, whether they are shares that sum up to one, and the top twenty."""
+    model, _ = _fitted(spark, sf_dir)
+    found = M.feature_importance(model)
+    top = [r.importance for r in M.top_features(model).collect()]
+    falling = top == sorted(top, reverse=True) and len(top) == min(20, len(model.inputs))
+    return found.agg(
+        F.count("*").alias("inputs"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
+        (F.min("importance") >= 0).alias("none_negative"),
+        F.lit(falling).alias("top_falls"),
+    )
