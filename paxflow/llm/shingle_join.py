@@ -9,14 +9,15 @@ The Jaccard distance is a metric, and the join works in that metric space:
    ``SLACK`` more of a set than a link needs makes linked documents share that many shingles, so a
    document may leave the pivots it meets least often, as long as what both leave is less than that.
 3. *Regions.* A document belongs to the region of each pivot it meets; those at a boundary are
-   replicated to all their regions, so any two linked documents meet in some region. What stands in
-   a region is a document's difference to the pivot, ``D(x)``, whose size is its distance.
+   replicated to all their regions, so any two linked documents meet in some region. A region is
+   then centred: what most members hold against the pivot is taken over by it. What stands in a
+   region is a document's difference to that centre, ``D(x)``, whose size is its distance.
 4. *Windows.* With ``F = 7 |D| - |set|`` two documents of a region are linked exactly when
    ``14 |D(x) & D(y)| >= F(x) + F(y)``. The triangle inequality settles most pairs by sizes: at or
    below zero they are linked whatever the differences hold (so is a document within the radius of
-   the pivot, or of the region's best placed member); and if the right side exceeds what the smaller
-   difference can hold, they are not.
-5. *Recursion.* What is left, documents outside the pivot's radius against those in their window, is
+   the region's best placed member); and if the right side exceeds what the smaller difference can
+   hold, they are not.
+5. *Recursion.* What is left, documents outside that radius against those in their window, is
    joined in the same way one level down: differences take the place of sets, and two documents meet
    only at an element of the difference that both hold early enough to reach the bound. Those pairs
    are checked exactly. Large regions are spread over tasks by element.
@@ -50,7 +51,7 @@ from paxflow.plans.stage import staged
 
 WORDS = 5
 #: Part of its set that a document takes beyond the rarest quarter.
-SLACK = 0.05
+SLACK = 0.1
 #: Counts in the fixed-size table of shingle frequencies, and the slices it is summed in.
 TABLE_BITS = 22
 SLICES = 64
@@ -265,9 +266,10 @@ def _flagged(flags):
 
 
 def _differences(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``D(x)`` with the elements the pivot lacks first; only where the region has other members."""
+    """What a document has and the pivot lacks, and the other way round; elements only where the
+    region has other members."""
     for block in blocks:
-        sizes, pivot_sizes, diffs, payload = [], [], [], []
+        sizes, pivot_sizes, diffs, news, gones = [], [], [], [], []
         for own, other, many in zip(*(block.column(c) for c in ("own", "other", "many"))):
             x = np.frombuffer(own.as_py(), np.uint64)
             p = np.frombuffer(other.as_py(), np.uint64)
@@ -276,16 +278,64 @@ def _differences(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(x))
             pivot_sizes.append(len(p))
             diffs.append(len(new) + len(gone))
-            payload.append(new.tobytes() + gone.tobytes() if many.as_py() else None)
+            news.append(new.tobytes() if many.as_py() else None)
+            gones.append(gone.tobytes() if many.as_py() else None)
         columns = [
             block.column("p"),
             block.column("x"),
             pa.array(sizes, pa.int64()),
             pa.array(pivot_sizes, pa.int64()),
             pa.array(diffs, pa.int64()),
-            pa.array(payload, pa.binary()),
+            pa.array(news, pa.binary()),
+            pa.array(gones, pa.binary()),
         ]
-        yield pa.RecordBatch.from_arrays(columns, names=["p", "x", "size", "p_size", "diff", "delta"])
+        names = ["p", "x", "size", "p_size", "diff", "new", "gone"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _spread(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Differences to the pivot by region and, for large regions, by lane of elements."""
+    for block in blocks:
+        out = []
+        for r in block.to_pylist():
+            lanes = np.uint64(-(-r["members"] // REGION_ROWS))
+            both = [np.frombuffer(r[k], np.uint64) for k in ("new", "gone")]
+            where = [(mixed(e) % lanes).astype(np.int64) for e in both]
+            for lane in np.unique(np.concatenate(where)).tolist():
+                own = [e[w == lane].tobytes() for e, w in zip(both, where)]
+                out.append((r["p"], lane, r["members"], *own))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        columns = [pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays(columns, names=["p", "lane", "members", "new", "gone"])
+
+
+def _majority(table: pa.Table) -> pa.Table:
+    """Elements in which most members differ from the pivot."""
+    most = table.column("members")[0].as_py() // 2
+    out = {"p": table.column("p").slice(0, 1)}
+    for name in ("new", "gone"):
+        all_ = np.frombuffer(b"".join(x.as_py() for x in table.column(name)), np.uint64)
+        elements, often = np.unique(all_, return_counts=True)
+        out[f"most_{name}"] = pa.array([elements[often > most].tobytes()], pa.binary())
+    return pa.table(out)
+
+
+def _centred(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``D(x)``: differences to the centre, with the elements that it lacks first."""
+    for block in blocks:
+        diffs, deltas = [], []
+        for row in zip(*(block.column(c) for c in ("new", "gone", "most_new", "most_gone"))):
+            lists = [x.as_py() for x in row[2:]]
+            most_new, most_gone = (np.frombuffer(b"".join(x or ()), np.uint64) for x in lists)
+            new, gone = (np.frombuffer(x.as_py(), np.uint64) for x in row[:2])
+            fresh_ = np.union1d(np.setdiff1d(new, most_new), np.setdiff1d(most_gone, gone))
+            lost = np.union1d(np.setdiff1d(gone, most_gone), np.setdiff1d(most_new, new))
+            diffs.append(len(fresh_) + len(lost))
+            deltas.append(fresh_.tobytes() + lost.tobytes())
+        columns = [*(block.column(c) for c in ("p", "x", "size", "near", "members"))]
+        columns += [pa.array(diffs, pa.int64()), pa.array(deltas, pa.binary())]
+        names = ["p", "x", "size", "near", "members", "diff", "delta"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _dealt(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,30 +434,51 @@ def region_links(stars: DataFrame, sets: DataFrame) -> DataFrame:
     met = stars.join(many, "p").join(own.hint("merge"), "x").join(other.hint("merge"), "p")
     members = staged(
         met.select("p", "x", "own", "other", "many").mapInArrow(
-            _differences, "p long, x long, size long, p_size long, diff long, delta binary"
+            _differences,
+            "p long, x long, size long, p_size long, diff long, new binary, gone binary",
         ),
         "region-members",
-    ).withColumn("f", 7 * F.col("diff") - F.col("size"))
-    outside = F.col("f") > F.col("p_size")
-    to_pivot = members.filter(~outside).select(F.col("x").alias("u"), F.col("p").alias("v"))
-
-    several = members.filter("delta IS NOT NULL")
-    regions = several.groupBy("p").agg(
-        F.min(F.struct("f", "x")).alias("best"),
-        F.count("*").alias("members"),
-        F.max(outside).alias("any_outer"),
+    ).withColumn("near", 7 * F.col("diff") <= F.col("size") + F.col("p_size"))
+    to_pivot = members.filter("near").select(F.col("x").alias("u"), F.col("p").alias("v"))
+
+    several = members.filter("new IS NOT NULL")
+    sizes = several.groupBy("p").agg(F.count("*").alias("members"), F.min("near").alias("all_near"))
+    # Where all are linked to the pivot there is nothing left to find.
+    several = several.join(sizes.filter("NOT all_near"), "p")
+    lanes = several.select("p", "members", "new", "gone").mapInArrow(
+        _spread, "p long, lane long, members long, new binary, gone binary"
     )
-    regions = regions.filter("any_outer").select(
-        "p", F.col("best.f").alias("best"), F.col("best.x").alias("best_x"), "members"
+    lanes = lanes.groupBy("p", "lane").applyInArrow(
+        _majority, "p long, most_new binary, most_gone binary"
+    )
+    centres = lanes.groupBy("p").agg(
+        F.collect_list("most_new").alias("most_new"), F.collect_list("most_gone").alias("most_gone")
+    )
+    several = staged(
+        several.join(centres, "p", "left").mapInArrow(
+            _centred,
+            "p long, x long, size long, near boolean, members long, diff long, delta binary",
+        ),
+        "region-differences",
+    ).withColumn("f", 7 * F.col("diff") - F.col("size"))
+    regions = several.groupBy("p").agg(F.min(F.struct("f", "x", "near")).alias("best"))
+    regions = regions.select(
+        "p",
+        F.col("best.f").alias("best"),
+        F.col("best.x").alias("best_x"),
+        F.col("best.near").alias("best_near"),
     )
     placed = several.join(regions, "p")
-    sure = outside & (F.col("f") + F.col("best") <= 0) & (F.col("x") != F.col("best_x"))
+    sure = (F.col("f") + F.col("best") <= 0) & (F.col("x") != F.col("best_x"))
     to_best = placed.filter(sure).select(F.col("x").alias("u"), F.col("best_x").alias("v"))
-    open_ = outside & (F.col("f") + F.col("best") > 0)
+    # The core is linked to the best placed member, directly or by way of the pivot.
+    core = sure | (F.col("x") == F.col("best_x")) | (F.col("near") & F.col("best_near"))
+    open_ = ~core
     least = placed.filter(open_).groupBy("p").agg(F.min("f").alias("least_outer"))
     window = placed.withColumn("outer", open_).join(least, "p")
     # The lower bound of the triangle inequality: the difference must hold what a link needs.
     window = window.filter(F.col("outer") | (F.col("f") + F.col("least_outer") <= 14 * F.col("diff")))
+    # ``best`` may be a member's own: then no other is as well placed, and the bound is only safer.
     dealt = window.select(
         "p", "x", "f", "diff", "delta", "outer", "best", "least_outer", "members"
     ).mapInArrow(
