@@ -232,8 +232,35 @@ def _distinct(one: np.ndarray, two: np.ndarray) -> list[pa.Array]:
     return [pa.array(x, pa.int64()) for x in (one[new], two[new], often)]
 
 
-def _stars(table: pa.Table) -> pa.Table:
-    """Each document of a shingle's group with the group's pivot, once per part."""
+def _stars(lanes: int):
+    """Each document of a shingle's group with the group's pivot, packed by lane of documents."""
+
+    def run(table: pa.Table) -> pa.Table:
+        x, p, often = (a.to_numpy() for a in _met_pivots(table))
+        lane = (mixed(x) % np.uint64(lanes)).astype(np.int64)
+        order = np.argsort(lane, kind="stable")
+        found, starts = np.unique(lane[order], return_index=True)
+        payload = [
+            pack(*(a[chosen].tobytes() for a in (x, p, often)))
+            for chosen in np.split(order, starts[1:])[: len(found)]
+        ]
+        return pa.table([pa.array(found, pa.int64()), pa.array(payload, pa.binary())], ["lane", "pairs"])
+
+    return run
+
+
+def _counted(table: pa.Table) -> pa.Table:
+    """Pairs of a lane from all parts, and how many shingles each shares."""
+    blocks = [[np.frombuffer(b, np.int64) for b in unpack(r.as_py())] for r in table.column("pairs")]
+    x, p, often = (np.concatenate(arrays) for arrays in zip(*blocks))
+    order = np.lexsort((p, x))
+    x, p, often = x[order], p[order], often[order]
+    first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (p[1:] != p[:-1])]))
+    sums = np.add.reduceat(often, first)
+    return pa.table([pa.array(a, pa.int64()) for a in (x[first], p[first], sums)], ["x", "p", "c"])
+
+
+def _met_pivots(table: pa.Table) -> list[pa.Array]:
     keys, owners = [], []
     for payload in table.column("postings"):
         steps, whose = unpack(payload.as_py())
@@ -244,7 +271,7 @@ def _stars(table: pa.Table) -> pa.Table:
     key, owner = key[order], owner[order]
     first = np.concatenate([[True], key[1:] != key[:-1]])
     pivot = owner[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
-    return pa.table(_distinct(owner[owner != pivot], pivot[owner != pivot]), ["x", "p", "c"])
+    return _distinct(owner[owner != pivot], pivot[owner != pivot])
 
 
 # Regions.
@@ -547,8 +574,8 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
     nodes = heads.groupBy("digest").agg(F.min("rep").alias("node"))
     nodes = staged(heads.join(nodes, "digest").select("rep", "node", "n"), "shingle-nodes")
     pairs = made.filter("part IS NOT NULL").select("part", "postings")
-    pairs = pairs.groupBy("part").applyInArrow(_stars, "x long, p long, c long")
-    pairs = pairs.groupBy("x", "p").agg(F.sum("c").alias("c"))
+    packed = pairs.groupBy("part").applyInArrow(_stars(n_parts), "lane long, pairs binary")
+    pairs = packed.groupBy("lane").applyInArrow(_counted, "x long, p long, c long")
     one = nodes.select(F.col("rep").alias("x"), F.col("node").alias("xn"), "n")
     two = nodes.select(F.col("rep").alias("p"), F.col("node").alias("pn"))
     stars = pairs.join(one, "x").join(two, "p").filter("xn <> pn")
