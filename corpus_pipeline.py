@@ -35,7 +35,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rates up to one, rounded: toxic documents go, no document is repeated."""
+    """Rates up to one, by a seeded draw: clean documents stay, no document is repeated."""
     return mix(docs, table(spark, sf_dir, "labels"), most=1.0)
 
 

@@ -11,7 +11,9 @@ per domain, pass through the driver. Rates are staged every few rounds, so a los
 more than those.
 
 Targets are shares of a budget in which the ``anchor`` domain is kept whole. Rates become copies by
-a seeded draw (unbiased) or by rounding.
+a seeded, unbiased draw, so the token totals of the drawn rows meet the targets as those of the rates
+do. With ``whole`` documents of at least that posterior of the anchor keep the rate one, and the
+others are fitted to what these leave of the targets.
 
 Bounds: at most ``LABELLED`` labelled documents, the first by a hash of their identifier, fit the
 classifier. Everything else covers all documents and all labels' words.
@@ -40,6 +42,8 @@ DOMAINS = ("good", "poor", "toxic")
 #: in fifteen is called toxic, so that share of expected tokens stays when every toxic text is gone.
 WEIGHTS = {"good": 0.86, "poor": 0.07, "toxic": 0.07}
 ANCHOR = "good"
+#: Posterior of the anchor from which on ``mix`` keeps a document.
+CLEAN = 0.8
 LABELLED = 20_000
 FEATURES = 1 << 18
 #: Steps in which the dense figures of a text are told apart, and how many figures there are.
@@ -169,21 +173,23 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_column: str, text_column:
     return staged(found.withColumn("rate", F.lit(1.0)), "mixing-posteriors")
 
 
-def _moved(pulls: list[np.ndarray], most: float):
-    """Rates after the given rounds: against posterior times residual, within bounds."""
+def _moved(pulls: list[np.ndarray], most: float, at: int, whole: float):
+    """Rates after the given rounds: against posterior times residual, within bounds; those of
+    documents that are kept whole stay."""
 
     def rates(block: pa.RecordBatch) -> np.ndarray:
         p = np.stack([block.column(f"p_{d}").to_numpy() for d in DOMAINS], axis=1)
         rate = block.column("rate").to_numpy()
+        fixed = p[:, at] >= whole
         for pull in pulls:
-            rate = np.clip(rate - p @ pull, 0.0, most)
+            rate = np.where(fixed, rate, np.clip(rate - p @ pull, 0.0, most))
         return rate
 
     return rates
 
 
 def fit_rates(
-    rows: DataFrame, weights: dict[str, float], anchor: str, most: float, rounds: int
+    rows: DataFrame, weights: dict[str, float], anchor: str, most: float, rounds: int, whole: float
 ) -> DataFrame:
     """``rows`` with the fitted ``rate``."""
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -207,13 +213,15 @@ def fit_rates(
             break
         last = pulls[-1]
         if len(pulls) >= STAGE_EVERY:
-            rows, pulls = staged(_with_rate(rows, pulls, most), "mixing-rates"), []
-        reached = _reached(rows, pulls, most)
-    return _with_rate(rows, pulls, most)
+            rows, pulls = staged(_with_rate(rows, pulls, most, at, whole), "mixing-rates"), []
+        reached = _reached(rows, pulls, most, at, whole)
+    return _with_rate(rows, pulls, most, at, whole)
 
 
-def _with_rate(rows: DataFrame, pulls: list[np.ndarray], most: float) -> DataFrame:
-    rates = _moved(pulls, most)
+def _with_rate(
+    rows: DataFrame, pulls: list[np.ndarray], most: float, at: int, whole: float
+) -> DataFrame:
+    rates = _moved(pulls, most, at, whole)
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks:
@@ -223,8 +231,10 @@ def _with_rate(rows: DataFrame, pulls: list[np.ndarray], most: float) -> DataFra
     return rows.mapInArrow(run, rows.schema)
 
 
-def _reached(rows: DataFrame, pulls: list[np.ndarray], most: float) -> np.ndarray:
-    rates = _moved(pulls, most)
+def _reached(
+    rows: DataFrame, pulls: list[np.ndarray], most: float, at: int, whole: float
+) -> np.ndarray:
+    rates = _moved(pulls, most, at, whole)
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(DOMAINS))
@@ -247,10 +257,12 @@ def mixed_rates(
     id_column: str = "doc_id",
     text_column: str = "text",
     rounds: int = ROUNDS,
+    whole: float = float("inf"),
 ) -> DataFrame:
     """Per row: ``doc_id, n_tokens``, the posteriors, ``rate``, ``copies`` by a seeded draw, and the
     text's hash as ``digest``."""
-    rows = fit_rates(posteriors(docs, labels, id_column, text_column), weights, anchor, most, rounds)
+    rows = posteriors(docs, labels, id_column, text_column)
+    rows = fit_rates(rows, weights, anchor, most, rounds, whole)
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("digest")), F.lit(1 << 30))
     copies = F.floor(F.col("rate") + draw / F.lit(float(1 << 30))).cast("long")
     return rows.withColumn("copies", copies).select(
@@ -266,14 +278,18 @@ def mix(
     most: float = float("inf"),
     id_column: str = "doc_id",
     text_column: str = "text",
+    seed: int = 0,
+    whole: float = CLEAN,
 ) -> DataFrame:
-    """The documents, all columns, each as often as its rate, rounded, says."""
+    """The documents, all columns, each as often as a seeded draw by its rate says."""
     key = fresh(docs, "mixed_digest")
-    rates = mixed_rates(docs, labels, weights, anchor, most, 0, id_column, text_column)
+    rates = mixed_rates(
+        docs, labels, weights, anchor, most, seed, id_column, text_column, whole=whole
+    )
     times = rates.select(
         F.col("doc_id").alias("rated_id"),
         F.col("digest").alias("rated_digest"),
-        F.floor(F.col("rate") + 0.5).cast("int").alias("rated_times"),
+        F.col("copies").cast("int").alias("rated_times"),
     ).filter("rated_times > 0")
     times = times.dropDuplicates(["rated_id", "rated_digest"])
     named = docs.withColumn(key, F.xxhash64(whole_text(text_column)))

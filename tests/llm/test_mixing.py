@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paxflow.llm.mixing import DOMAINS, WEIGHTS, features, fit, mix, mixed_rates, softmax
+from paxflow.llm.mixing import CLEAN, DOMAINS, WEIGHTS, features, fit, mix, mixed_rates, softmax
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -73,3 +73,17 @@ def test_edge_rows(spark):
     assert mixed_rates(docs, labels.limit(0)).filter(F.abs(F.col("p_good") - 1 / 3) < 1e-9).count() == 5
     assert mixed_rates(docs.limit(0), labels).count() == 0
     assert mix(docs, labels, most=1.0).columns == docs.columns
+
+
+def test_kept_tokens_meet_the_targets_of_each_domain(spark):
+    large = SF_DIR.replace("0.01", "0.1")
+    docs, labels = (spark.read.parquet(f"{large}/{n}.parquet") for n in ("documents", "labels"))
+    rows = mixed_rates(docs, labels, most=1.0).toPandas().set_index("doc_id")
+    ids = [r.doc_id for r in mix(docs, labels, most=1.0).select("doc_id").collect()]
+    assert len(ids) == len(set(ids))
+    mass = rows[[f"p_{d}" for d in DOMAINS]].mul(rows.n_tokens, axis=0)
+    total, kept = mass.sum(), mass.loc[ids].sum()
+    for d in DOMAINS:  # with rates up to one a domain cannot have more than all its tokens
+        target = min(total[f"p_{d}"], WEIGHTS[d] / WEIGHTS["good"] * total.p_good)
+        assert abs(kept[f"p_{d}"] / target - 1) < 0.1, d
+    assert set(rows.index[rows.p_good >= CLEAN]) <= set(ids)
