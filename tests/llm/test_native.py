@@ -175,6 +175,22 @@ def test_host_boilerplate_on_pages_without_an_article(spark):
     assert main_text(pages.limit(0)).count() == 0
 
 
+def test_boilerplate_is_a_share_of_all_pages_of_a_host(spark):
+    foot = " ".join(f"f{i}" for i in range(RUN + 4))
+    quote = " ".join(f"q{i}" for i in range(RUN + 2))
+    own = lambda i: f"own{i} text of page {i}"
+    rows = [(i, "http://a.example", f"<div>{foot}</div><p>{own(i)}{' ' + quote if i < 2 else ''}</p>") for i in range(60)]
+    marked = lambda i: f"<nav>{foot}</nav><article><p>{own(i)}</p><p>{foot}</p></article>"
+    rows += [(100 + i, "http://b.example", marked(i)) for i in range(3)]
+    rows += [(110, "http://b.example", f"<div>{foot}</div><p>{own(110)}</p>")]
+    rows += [(120, "http://c.example", f"<p class='share-price ad-hoc'>{own(120)}</p><div class='x site-footer'>no</div>")]
+    found = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[0] == f"{own(0)} {quote}" and found[1] == f"{own(1)} {quote}"  # a quotation stays
+    assert all(found[i] == own(i) for i in range(2, 60))
+    assert found[100] == f"{own(0)}\n\n{foot}"  # a marked article is whole
+    assert found[110] == own(110) and found[120] == own(120)
+
+
 def test_page_query(spark):
     import html
 
