@@ -2,9 +2,10 @@
 
 Normalised lines are hashed and counted per host (the ``source`` column): in how many distinct
 documents of the host does a line stand? Equal texts are one document there, so copies do not turn
-their own lines into boilerplate. Lines above both limits are removed, and a document that loses
-more than ``max_removed_share`` of its words that way is depleted and rejected. The same pass works
-out the base figures of each text.
+their own lines into boilerplate. Lines above both limits are boilerplate, and a document that
+would lose more than ``max_removed_share`` of its words with them is depleted and rejected. The same
+pass works out the base figures of each text. ``without_boilerplate`` returns the texts without these
+lines, by a count of documents that does not grow with the host.
 
 Texts stay in the scan: one small row per document, with its lines' hashes, is staged. Counting
 first combines (line, text) pairs and then lines, so neither a hot host nor a line that a third of
@@ -148,8 +149,12 @@ def _beside(df: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(small) if few else small, on)
 
 
-def removed_words(rows: DataFrame, limits: Limits) -> DataFrame:
-    """Per row that loses any: the words in its boilerplate lines."""
+#: Limits of ``without_boilerplate``: a count alone, so a large host does not raise it.
+BY_COUNT = Limits(min_share=0.0)
+
+
+def boilerplate_lines(rows: DataFrame, limits: Limits) -> DataFrame:
+    """Per row and boilerplate line in it: its hash ``k`` and its words ``w``."""
     hosts = rows.select(F.xxhash64("host").alias("host_key"), "digest").distinct()
     hosts = staged(hosts.groupBy("host_key").agg(F.count("*").alias("host_docs")), "quality-hosts")
     lines = rows.select("digest", F.explode(F.array_distinct("lines.k")).alias("k")).distinct()
@@ -158,8 +163,41 @@ def removed_words(rows: DataFrame, limits: Limits) -> DataFrame:
     stand = rows.select("row", F.xxhash64("host").alias("host_key"), F.explode("lines").alias("x"))
     stand = stand.select("row", "host_key", F.col("x.k").alias("k"), F.col("x.w").alias("w"))
     found = _beside(_beside(stand, common, "k"), hosts, "host_key")
-    found = found.filter(F.col("line_docs") >= limits.min_share * F.col("host_docs"))
-    return found.groupBy("row").agg(F.sum("w").alias("removed_words"))
+    return found.filter(F.col("line_docs") >= limits.min_share * F.col("host_docs"))
+
+
+def removed_words(rows: DataFrame, limits: Limits) -> DataFrame:
+    """Per row that loses any: the words in its boilerplate lines."""
+    return boilerplate_lines(rows, limits).groupBy("row").agg(F.sum("w").alias("removed_words"))
+
+
+def without_boilerplate(
+    docs: DataFrame,
+    limits: Limits = BY_COUNT,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    host_column: str = "source",
+) -> DataFrame:
+    """All documents with all their columns, their texts without boilerplate lines."""
+    rows = measured(docs, id_column, text_column, host_column)
+    lost = boilerplate_lines(rows, limits).groupBy("row").agg(F.collect_set("k").alias("lost_lines"))
+    lost = lost.join(rows.select("row", "doc_id", "host", "digest"), "row")
+    lost = lost.dropDuplicates(["doc_id", "host", "digest"])
+    digest = fresh(docs, "lost_digest")
+    named = docs.withColumn(digest, F.xxhash64(whole_text(text_column)))
+    host = named[host_column].cast("string")
+    match = (
+        named[id_column].eqNullSafe(lost["doc_id"])
+        & (named[digest] == lost["digest"])
+        & host.eqNullSafe(lost["host"])
+    )
+    left = F.filter(
+        F.split(named[text_column], "\n"),
+        lambda x: ~(x.rlike(WORD) & F.array_contains(lost["lost_lines"], F.xxhash64(host, normalised(x)))),
+    )
+    text = F.when(lost["lost_lines"].isNull(), named[text_column]).otherwise(F.array_join(left, "\n"))
+    columns = [text.alias(c) if c == text_column else named[c] for c in docs.columns]
+    return named.join(lost, match, "left").select(*columns)
 
 
 def quality_rules(

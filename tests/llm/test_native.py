@@ -13,7 +13,7 @@ import pytest
 from paxflow.llm import exact_dedup, sharding
 from paxflow.llm.exact_dedup import drop_exact_copies, exact_groups
 from paxflow.llm.html_text import RUN, blocks_of, main_text
-from paxflow.llm.quality import Limits, keep_good, quality_rules
+from paxflow.llm.quality import Limits, keep_good, quality_rules, without_boilerplate
 from paxflow.llm.queries import QUERIES
 from paxflow.llm.sharding import sharded
 
@@ -143,6 +143,16 @@ def test_boilerplate_lines_deplete_documents(spark):
     assert stay.columns == table.columns and {r.doc_id for r in stay.collect()} == kept
 
 
+def test_boilerplate_lines_leave_the_text(spark):
+    rows = [(i, f"own {i}\n Share  THIS \n\nend {i}" if i < 25 else f"own {i}", "h") for i in range(300)]  # 8% of the host
+    rows += [(400 + i, f"share this\nown {i}", "g") for i in range(5)] + [(3, rows[3][1], "h"), (500, None, None)]
+    table = docs(spark, rows)
+    out = without_boilerplate(table)
+    assert out.columns == table.columns
+    wanted = [(d, f"own {d}\n\nend {d}" if d is not None and d < 25 else t) for d, t, _ in rows]
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in out.collect()))) == sorted(map(repr, wanted))
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="menu">
 <header>Top</header><nav><ul><li>Home</ul></nav><div class="cookie-notice">Ok?</div>
 <article><header><h1>Head &amp; line</h1></header><p>One <b>bold</b>
