@@ -55,7 +55,7 @@ def test_mixture_drops_toxic_and_keeps_clean_documents(spark):
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
     assert len(ids) == len(set(ids))
-    insults = F.lower("text").rlike(r"(idiot|moron|scum|clown|trash)(.|\n)*(loser|stupid|worthless|pathetic)")
+    insults = F.lower("text").rlike(r"(?s)(idiot|moron|scum|clown|trash).*(loser|stupid|worthless|pathetic)")
     toxic = {r.doc_id for r in docs.filter(insults).select("doc_id").collect()}
     clean = {r.doc_id for r in labels.filter("toxic = 0 AND quality = 1").collect()}
     assert len(clean - set(ids)) <= 0.01 * len(clean)
