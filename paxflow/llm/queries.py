@@ -20,6 +20,7 @@ from paxflow.llm.sharding import sharded
 from paxflow.llm.shingle_join import shingle_components
 from paxflow.llm.token_files import token_files
 from paxflow.llm.tokens import token_counts
+from paxflow.llm.toxic_spans import toxic_spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -142,6 +143,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return toxic_spans(docs, labels).withColumn("n_spans", F.size("spans")).drop("spans")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
