@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paxflow.llm.common import table
+from paxflow.llm.divergence import divergence
 from paxflow.llm.exact_dedup import exact_groups
 from paxflow.llm.html_text import main_text
 from paxflow.llm.mixing import mixed_rates
 from paxflow.llm.pieces import encode_texts
+from paxflow.llm.prefix_trie import prefix_trie, rebuilt, sequences
 from paxflow.llm.pseudonyms import replace_values
 from paxflow.llm.quality import quality_rules
 from paxflow.llm.sharding import sharded
@@ -21,6 +23,7 @@ from paxflow.llm.shingle_join import shingle_components
 from paxflow.llm.token_files import token_files
 from paxflow.llm.tokens import token_counts
 from paxflow.llm.toxic_spans import toxic_spans
+from paxflow.plans.stage import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -149,6 +152,106 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxic_spans(docs, labels).withColumn("n_spans", F.size("spans")).drop("spans")
 
 
+@query
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), occurrences AS (
+    SELECT row, lang, source, term, count(*) AS n
+    FROM (SELECT row, lang, source, unnest(terms) AS term FROM d) GROUP BY ALL
+), kept AS (
+    SELECT lang, term, sum(n)::HUGEINT AS n FROM occurrences GROUP BY lang, term HAVING count(*) >= 3
+), sizes AS (
+    SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM d
+), counts AS (
+    SELECT g.lang, g.source, k.term, coalesce(sum(o.n), 0)::HUGEINT AS n
+    FROM groups g JOIN kept k ON k.lang = g.lang
+    LEFT JOIN occurrences o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term GROUP BY ALL
+), p AS (
+    SELECT c.*, 1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY c.lang, source)::HUGEINT + v) AS p
+    FROM counts c JOIN sizes s ON s.lang = c.lang
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item,
+           coalesce((SELECT sum((x.p - y.p) * (x.p - y.p) // y.p) FROM p x JOIN p y ON y.lang = x.lang AND y.term = x.term
+                     WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+), terms AS (
+    SELECT p.lang, source, p.term AS item, (p - q) * (p - q) // q AS value
+    FROM p JOIN (SELECT k.lang, term, 1 + (1000000000 * (n + 1)) // (total + v) AS q
+                 FROM kept k JOIN sizes s ON s.lang = k.lang) l ON l.lang = p.lang AND l.term = p.term
+    WHERE n > 0 AND p > q
+)
+SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+    SELECT lang, source, 'term' AS part, item, value::BIGINT AS value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM terms
+) WHERE rank <= 200
+"""
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = staged(sequences(table(spark, sf_dir, "conversations")), "conversations")
+    return prefix_trie(rebuilt(convs, family=20, most=4))
+
+
+ORACLE["op13_prefix_trie"] = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(
+        [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+        lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                      lambda a, b: xor(a >> 1, 3988292384 * (a & 1))))) % 4 AS h
+    FROM turns
+), built AS (
+    SELECT c.conv_id, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND pos <= h
+    UNION ALL
+    SELECT c.conv_id, pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos > h
+), whole AS (
+    SELECT convs.conv_id, coalesce(q, []) AS q
+    FROM convs LEFT JOIN (
+        SELECT conv_id, list({'role': role, 'text': text} ORDER BY pos) AS q FROM built GROUP BY conv_id
+    ) s ON s.conv_id = convs.conv_id
+), members AS (
+    SELECT conv_id, d, list_slice(q, 1, d) AS k, len(q) = d AS ends
+    FROM (SELECT conv_id, q, unnest(range(0, len(q) + 1)) AS d FROM whole)
+), nodes AS (
+    SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+    FROM members GROUP BY k, d
+), valued AS (
+    SELECT *, CASE WHEN d = 0 THEN 0 ELSE
+               (n_convs - 1) * len(regexp_extract_all(k[d].text, '[^ 	-
+]+')) END AS saved
+    FROM nodes
+), below AS (
+    SELECT list_slice(k, 1, e) AS k, e, count(*) FILTER (WHERE d = e + 1) AS n_children, sum(saved) AS saved_tokens
+    FROM (SELECT k, d, saved, unnest(range(0, d + 1)) AS e FROM valued) GROUP BY 1, 2
+), leaves AS (
+    SELECT list_slice(k, 1, e) AS k, e, count(*) AS n_leaves
+    FROM (SELECT k, e AS d, unnest(range(0, e + 1)) AS e FROM below WHERE n_children = 0) GROUP BY 1, 2
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, b.n_children, l.n_leaves,
+       b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM valued n JOIN below b ON b.e = n.d AND b.k = n.k JOIN leaves l ON l.e = n.d AND l.k = n.k
+LEFT JOIN valued p ON p.d = n.d - 1 AND p.k = list_slice(n.k, 1, n.d - 1) AND n.d > 0
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
