@@ -25,7 +25,9 @@ def zone_key(zone: Column) -> Column:
 
 
 def cell(value: Column, width: int) -> Column:
-    return F.rpad(value.cast("string"), width, " ")
+    """Padded to ``width``; a wider text stays whole."""
+    text = value.cast("string")
+    return F.rpad(text, F.greatest(F.length(text), F.lit(width)), F.lit(" "))
 
 
 def money(value: Column) -> Column:

@@ -8,6 +8,7 @@ from paxflow.config import Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio, whole_count
 from paxflow.operators.hourly import hour_of_day, totals_by
+from paxflow.plans.stage import staged
 
 
 def join_on(
@@ -102,8 +103,8 @@ def total_metrics(
 def all_metrics(
     df: DataFrame, actual: str, predicted: str, roles: Roles = Roles()
 ) -> dict[str, DataFrame]:
-    """The three levels of :func:`total_metrics` as three tables."""
-    table = total_metrics(df, actual, predicted, roles)
+    """The three levels of :func:`total_metrics` as three tables, read from one staged result."""
+    table = staged(total_metrics(df, actual, predicted, roles), "error-totals")
     cells = [actual, predicted, "WAPE", "Ratio_Pred"]
     return {
         "Global": table.where(F.col("level") == "").select(*cells),
@@ -138,26 +139,99 @@ def first_rows(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def error_sums(
+    df: DataFrame, pairs: list[tuple[str, str]], levels: list[list[str]], level: str = "level"
+) -> DataFrame:
+    """Everything errors are made of, for all pairs of actual and predicted and all levels, in one pass.
+
+    The rows are summed once by all dimensions together, and the levels are grouping sets over that
+    small table, told apart by their grouping id. A row per level and values of its dimensions; per
+    pair ``sums`` has the actual's name, the plain totals, and over the rows that have both sides
+    their number, totals, absolute and squared errors and the squares of the actual.
+    """
+    dims = list(dict.fromkeys(d for own in levels for d in own))
+    cells, again = [], []
+    for i, (actual, predicted) in enumerate(pairs):
+        y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+        both = y.isNotNull() & p.isNotNull()
+        ys, ps = F.when(both, y), F.when(both, p)
+        parts = {
+            "all_actual": F.sum(actual),
+            "all_predicted": F.sum(predicted),
+            "rows": F.count(ys),
+            "actual": F.sum(ys),
+            "predicted": F.sum(ps),
+            "absolute": F.sum(F.abs(ys - ps)),
+            "squared": F.sum((ys - ps) * (ys - ps)),
+            "squares": F.sum(ys * ys),
+        }
+        cells += [c.alias(f"_{i}_{k}") for k, c in parts.items()]
+        again.append(
+            F.struct(F.lit(actual).alias("target"), *[F.sum(f"_{i}_{k}").alias(k) for k in parts])
+        )
+    fine = df.groupBy(*dims).agg(*cells)
+    sets = [[F.col(d) for d in own] for own in levels]
+    ids = F.lit("")
+    for own in levels:
+        number = sum((d not in own) << (len(dims) - 1 - i) for i, d in enumerate(dims))
+        ids = F.when(F.grouping_id(*dims) == number, F.lit("+".join(own))).otherwise(ids)
+    return fine.groupingSets(sets, *dims).agg(ids.alias(level), F.array(*again).alias("sums"))
+
+
+def errors_of(sums: DataFrame, dims: list[str], level: str = "level") -> DataFrame:
+    """The figures of :func:`error_metrics` and the WAPE, from :func:`error_sums`: a row per level,
+    values of its dimensions and target."""
+    flat = sums.select(level, *dims, F.inline("sums"))
+    n = F.col("rows").cast("double")
+    spread = F.col("squares") - F.col("actual") * F.col("actual") / F.when(n > 0, n)
+    return flat.select(
+        level,
+        *dims,
+        "target",
+        "rows",
+        F.col("actual").alias("total_actual"),
+        F.col("predicted").alias("total_predicted"),
+        (F.col("predicted") - F.col("actual")).alias("difference"),
+        (ratio(F.col("predicted"), F.col("actual")) * 100).alias("ratio_percent"),
+        wape(F.col("actual"), F.col("predicted")).alias("wape"),
+        (F.col("absolute") / F.when(n > 0, n)).alias("mae"),
+        F.sqrt(F.col("squared") / F.when(n > 0, n)).alias("rmse"),
+        (1 - ratio(F.col("squared"), spread)).alias("r2"),
+    )
+
+
+def report_levels(roles: Roles = Roles()) -> list[list[str]]:
+    """The levels of the forecast report: overall, and those its charts show."""
+    hour = ["Heure"]
+    whole = [*hour, roles.terminal, roles.direction]
+    return [[], hour, [*hour, roles.terminal], [roles.direction], whole]
+
+
 def forecast_report(
-    predictions: DataFrame, actuals: DataFrame, day: str, roles: Roles = Roles()
+    predictions: DataFrame, actuals: DataFrame, day: str | None, roles: Roles = Roles()
 ) -> dict[str, DataFrame]:
-    """Forecast against actuals of one day: errors of both targets and the sums behind the charts."""
+    """Forecast against actuals of one day (None: of all): errors of both targets and the sums behind
+    the charts. The join runs once: all tables but ``joined`` itself are read from its staged sums."""
     joined = hour_of_day(forecast_join(actuals, predictions, roles, day=day), roles)
-    sums = totals_by(
-        joined,
-        [roles.target, f"Pred{roles.target}", roles.reduced_target, f"Pred{roles.reduced_target}"],
-        [
-            ["Heure"],
-            ["Heure", roles.terminal],
-            [roles.direction],
-            ["Heure", roles.terminal, roles.direction],
-        ],
-    )
+    targets = [roles.target, roles.reduced_target]
+    dims = ["Heure", roles.terminal, roles.direction]
+    found = error_sums(joined, [(t, f"Pred{t}") for t in targets], report_levels(roles))
+    found = staged(found, "report-sums")
+    errors = errors_of(found.where(F.col("level") == ""), []).drop("level", "wape")
+    totals = [
+        column
+        for i, t in enumerate(targets)
+        for column in (
+            F.col("sums")[i]["all_actual"].alias(t),
+            F.col("sums")[i]["all_predicted"].alias(f"Pred{t}"),
+        )
+    ]
     return {
         "joined": joined,
-        "passengers": error_metrics(joined, roles.target, f"Pred{roles.target}"),
-        "reduced": error_metrics(joined, roles.reduced_target, f"Pred{roles.reduced_target}"),
-        "sums": sums,
+        "passengers": errors.where(F.col("target") == roles.target).drop("target"),
+        "reduced": errors.where(F.col("target") == roles.reduced_target).drop("target"),
+        "sums": found.where(F.col("level") != "").select(*dims, "level", *totals),
+        "errors": errors_of(found, dims),
     }
 
 

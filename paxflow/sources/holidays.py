@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from paxflow.plans.stage import staged
+
 _RECORDS = (
     "struct<total_count:int,results:array<struct<description:string,start_date:string,"
     "end_date:string,annee_scolaire:string,population:string,zones:string,location:string>>>"
@@ -57,6 +59,31 @@ def zone_records(payloads: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
+def zone_pages(
+    payloads: DataFrame, text: str = "value", key: str = "zone"
+) -> tuple[DataFrame, DataFrame]:
+    """(records, account) of a school calendar fetched in pages, several texts per ``key``.
+
+    Each text is parsed once and staged. The records carry their ``key``. The account has a row per
+    key: ``total_count`` as the service states it (the largest of its pages), the ``entries`` read,
+    ``pages``, ``unreadable`` pages and ``complete``: all pages readable and as many entries as
+    stated, so a page that was cut, lost or fetched twice shows.
+    """
+    parsed = staged(
+        payloads.select(key, F.from_json(_bare(text), _RECORDS).alias("page")), "zone-pages"
+    )
+    results = F.col("page.results")
+    account = parsed.groupBy(key).agg(
+        F.max("page.total_count").alias("total_count"),
+        F.sum(F.coalesce(F.size(F.coalesce(results, F.array())), F.lit(0))).alias("entries"),
+        F.count(F.lit(1)).alias("pages"),
+        F.count_if(results.isNull()).alias("unreadable"),
+    )
+    stated = F.coalesce(F.col("total_count") == F.col("entries"), F.lit(False))
+    account = account.withColumn("complete", stated & (F.col("unreadable") == 0))
+    return parsed.select(key, F.inline(results)), account
+
+
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: its whole text and its name without extension as ``country``."""
     name = F.element_at(F.split(F.input_file_name(), "/"), -1)

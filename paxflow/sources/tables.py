@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paxflow.config import MOVEMENT_COLUMNS, Roles
+from paxflow.plans.stage import staged
+from paxflow.sources import store
+from paxflow.sources.store import stored as stored
 
 
 def read_movements(
@@ -42,23 +46,50 @@ def write_parquet(df: DataFrame, path: str, by: str | None = None) -> None:
     (writer.partitionBy(by) if by else writer).parquet(path)
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, or None where there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+def reuse_or_build(
+    spark: SparkSession,
+    path: str,
+    build: Callable[[], DataFrame],
+    sources: list[str] | None = None,
+    schema: StructType | None = None,
+) -> DataFrame:
+    """The stored table; builds and stores it first where it is missing or its source has changed
+    (see :func:`paxflow.sources.store.reuse`)."""
+    return store.read_version(spark, store.reuse(spark, path, build, sources, schema))
+
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: str, **options: str
+) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of CSV files under a stated schema, from one read; with a header unless
+    ``header="false"``.
 
-def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """The stored table; builds and stores it first where it is missing. A failing build fails."""
-    found = stored(spark, path)
-    if found is not None:
-        return found
-    write_parquet(build(), path)
-    return spark.read.parquet(path)
+    A line whose cells do not fit their types, or that has too few or too many, is a bad row: its
+    file and its whole text, ``file`` and ``line``. The rows are staged once with the rejected text
+    beside the parsed cells, and both tables are filters over that.
+    """
+    cells = StructType.fromDDL(schema)
+    rejected = "_rejected_line"
+    whole = StructType([*cells.fields, StructField(rejected, StringType())])
+    reader = spark.read.schema(whole).option("columnNameOfCorruptRecord", rejected)
+    reader = reader.options(**({"header": "true", "mode": "PERMISSIVE"} | options))
+    rows = staged(reader.csv(path).withColumn("_file", F.input_file_name()), "csv-rows")
+    bad = F.col(rejected).isNotNull()
+    return (
+        rows.where(~bad).select(*[F.col(f"`{f.name}`") for f in cells.fields]),
+        rows.where(bad).select(F.col("_file").alias("file"), F.col(rejected).alias("line")),
+    )
+
+
+def write_dated(df: DataFrame, path: str, day: date, column: str = "run_date", fmt: str = "parquet") -> None:
+    """Writes the rows as those of one day; a rerun replaces that day's and leaves the others.
+
+    Only the partitions that the rows fall in are overwritten, each by a rename at the end. A day
+    without rows keeps what it had, since it writes to no partition.
+    """
+    dated = df.withColumn(column, F.lit(day).cast("date"))
+    writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.option("header", True) if fmt == "csv" else writer).partitionBy(column).format(fmt).save(path)
 
 
 def write_report(lines: DataFrame, path: str, keys: list[str] = ("day",)) -> None:

@@ -12,7 +12,9 @@ from paxflow.operators import metrics, rolling, split
 from workload import views as V
 
 SF_DIR = "/root/testdata/sf0.001"
-MODELS = {"gbt_forecast", "feature_importance"}
+MODELS = {
+    "gbt_forecast", "gbt_predictions", "forecast_quality", "feature_importance", "top_features", "learning_curve"
+}
 
 
 def plan_of(df) -> str:

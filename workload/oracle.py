@@ -298,12 +298,16 @@ FROM e GROUP BY GROUPING SETS ((Heure), (Heure, terminal), (direction), (Heure,
 
 ORACLE["merge_predictions"] = f"""
 SELECT a.flight, a.ts, a.pred_pax, b.pred_reduced
-FROM (SELECT * FROM {PREDICTED} WHERE value >= 40) a
-JOIN (SELECT * FROM {PREDICTED} WHERE value <= 400) b ON a.flight = b.flight AND a.ts = b.ts
+FROM {PREDICTED} a JOIN {PREDICTED} b ON a.flight = b.flight AND a.ts = b.ts
+WHERE right(b.flight, 1) NOT IN ('3', '7')
 """
 ORACLE["forecast_join"] = f"""
 SELECT e.*, p.pred_pax FROM {EVENTS} e
-LEFT JOIN (SELECT * FROM {PREDICTED} WHERE value >= 40) p ON e.flight = p.flight AND e.ts = p.ts
+LEFT JOIN (
+    SELECT flight, CASE WHEN right(flight, 1) = '5' THEN ts + INTERVAL 1 SECOND ELSE ts END AS ts, pred_pax
+    FROM {PREDICTED}
+    UNION ALL SELECT flight, ts, pax FROM {ORDERS}
+) p ON e.flight = p.flight AND e.ts = p.ts
 """
 ORACLE["forecast_join_day"] = f"""
 SELECT e.*, p.pred_pax FROM {EVENTS} e JOIN {PREDICTED} p ON e.flight = p.flight AND e.ts = p.ts
@@ -425,14 +429,14 @@ body AS (
     SELECT day, CAST(Heure + 5 AS INT) AS line_no, concat_ws(' | ',
         rpad(lpad(CAST(Heure AS VARCHAR), 2, '0') || ':00-' || lpad(CAST(Heure + 1 AS VARCHAR), 2, '0')
              || ':00', 12, ' '),
-        rpad(CAST(Lanes_Open AS VARCHAR), 6, ' '),
-        rpad(CAST(Total_Staff_Present AS VARCHAR), 7, ' '),
-        rpad(CASE WHEN Staff_Starting = 0 AND Staff_Ending = 0 THEN '---' ELSE concat_ws(' | ',
-             CASE WHEN Staff_Starting > 0 THEN '+ ' || printf('%02d', Staff_Starting) || ' SHIFT START' END,
-             CASE WHEN Staff_Ending > 0 THEN '- ' || printf('%02d', Staff_Ending) || ' SHIFT END' END) END,
-             35, ' '),
+        rpad(CAST(Lanes_Open AS VARCHAR), greatest(6, length(CAST(Lanes_Open AS VARCHAR)))::INT, ' '),
+        rpad(CAST(Total_Staff_Present AS VARCHAR), greatest(7, length(CAST(Total_Staff_Present AS VARCHAR)))::INT, ' '),
+        moves || repeat(' ', greatest(0, 35 - length(moves))),
         {_MONEY.format(c='Total_Staff_Present * 25')}) AS line
-    FROM plan),
+    FROM (SELECT *, CASE WHEN Staff_Starting = 0 AND Staff_Ending = 0 THEN '---' ELSE concat_ws(' | ',
+              CASE WHEN Staff_Starting > 0 THEN '+ ' || printf('%02d', Staff_Starting) || ' SHIFT START' END,
+              CASE WHEN Staff_Ending > 0 THEN '- ' || printf('%02d', Staff_Ending) || ' SHIFT END' END)
+          END AS moves FROM plan)),
 totals AS (SELECT day, sum(Total_Staff_Present) * 25 AS cost FROM plan GROUP BY day),
 frame AS (
     SELECT day, unnest([
@@ -674,7 +678,126 @@ FROM l CROSS JOIN o GROUP BY s.source, s.category
 
 TESTED = f"FROM {ORDERS} WHERE ts >= TIMESTAMP '2000-07-01' AND ts < TIMESTAMP '2001-08-02'"
 ORACLE["gbt_forecast"] = f"SELECT id, ts, pax, true AS valid {TESTED}"
-# The inputs: 14 date features, the seats and three texts.
+REGULAR = f"""(
+    SELECT id, ts, seats + [120, 0, 80, 20, 60][CAST(substr(terminal, 1, 1) AS INT)] + 5 * month(ts) + pax % 7 AS pax
+    FROM {ORDERS})"""
+ORACLE["forecast_quality"] = f"""
+WITH m AS (SELECT avg(pax) AS mean FROM {REGULAR} WHERE ts < TIMESTAMP '1999-01-01')
+SELECT count(*) AS rows, CAST(sum(pax) AS BIGINT) AS pax, {r('avg(abs(pax - mean))', 'mae_of_mean')},
+       true AS forecast_is_better, true AS forecasts_differ
+FROM {REGULAR} CROSS JOIN m WHERE ts >= TIMESTAMP '2000-07-01' AND ts < TIMESTAMP '2001-08-02'
+"""
+# The inputs: the seats, the date features, the codes of three texts and the means of one.
 ORACLE["feature_importance"] = """
-SELECT 18 AS inputs, true AS sums_to_one, true AS none_negative, true AS top_falls
+SELECT unnest(['seats', 'Year', 'Semester', 'Quarter', 'Day', 'sin_Minute', 'cos_Minute', 'sin_Hour', 'cos_Hour',
+               'sin_Month', 'cos_Month', 'sin_DayOfWeek', 'cos_DayOfWeek', 'sin_Hour_Of_Week',
+               'cos_Hour_Of_Week', 'terminal', 'flight', 'direction', 'flight_mean']) AS feature,
+       true AS is_share, true AS sums_to_one
+"""
+ORACLE["stopping_rule"] = f"""
+WITH days AS (
+    SELECT terminal, CAST(ts AS DATE) AS day, CAST(sum(abs(pax - pred_pax)) AS BIGINT) AS error
+    FROM {COMPARED} GROUP BY ALL
+), e AS (
+    SELECT terminal, error, CAST(row_number() OVER (PARTITION BY terminal ORDER BY day) AS INT) AS round FROM days
+), best AS (
+    SELECT a.terminal, a.round, a.error, min(b.round) AS best_round
+    FROM e a JOIN e b ON a.terminal = b.terminal AND b.round <= a.round
+    WHERE b.error = (SELECT min(c.error) FROM e c WHERE c.terminal = a.terminal AND c.round <= a.round)
+    GROUP BY ALL
+), ends AS (
+    SELECT terminal, min(round) FILTER (WHERE round - best_round >= 3) AS stop, max(round) AS last
+    FROM best GROUP BY terminal
+)
+SELECT b.terminal, b.error, b.round, b.best_round, c.best_round AS chosen,
+       coalesce(b.round >= e.stop, false) AS stopped
+FROM best b JOIN ends e ON b.terminal = e.terminal
+JOIN best c ON c.terminal = b.terminal AND c.round = coalesce(e.stop, e.last)
+"""
+ORACLE["category_index"] = f"""
+WITH c AS (
+    SELECT 'terminal' AS source, terminal AS category, count(*) AS rows FROM {ORDERS} GROUP BY terminal
+    UNION ALL SELECT 'flight', flight, count(*) FROM {ORDERS} GROUP BY flight
+    UNION ALL SELECT 'direction', direction, count(*) FROM {ORDERS} GROUP BY direction)
+SELECT source, category, rows,
+       CAST(dense_rank() OVER (PARTITION BY source ORDER BY rows DESC, category) AS INT) AS code
+FROM c WHERE category IS NOT NULL QUALIFY code < 64
+"""
+
+# --- reports, sources and stores ---
+
+
+def _report_level(level: list[str], target: str) -> str:
+    y, p = target, f"pred_{target}"
+    hours = {"Heure": "CAST(hour(ts) AS INT)", "terminal": "terminal", "direction": "direction"}
+    dims = [f"{hours[d]} AS {d}" if d in level else f"NULL AS {d}" for d in hours]
+    group = f"GROUP BY {', '.join(hours[d] for d in level)}" if level else ""
+    cells = [
+        f"'{target}' AS target",
+        "count(*) AS rows",
+        r(f"sum({y})", "total_actual"),
+        r(f"sum({p})", "total_predicted"),
+        r(f"sum({p}) - sum({y})", "difference"),
+        r(f"sum({p})::DOUBLE / nullif(sum({y}), 0) * 100", "ratio_percent"),
+        r(f"abs(sum({p}) - sum({y}))::DOUBLE / nullif(sum({y}), 0)", "wape"),
+        r(f"avg(abs({y} - {p}))", "mae"),
+        r(f"sqrt(avg(({y} - {p}) * ({y} - {p})))", "rmse"),
+        r(
+            f"1 - sum(({y} - {p}) * ({y} - {p}))::DOUBLE"
+            f" / nullif(sum({y} * {y})::DOUBLE - sum({y})::DOUBLE * sum({y}) / count(*), 0)",
+            "r2",
+        ),
+    ]
+    return f"SELECT '{'+'.join(level)}' AS level, {', '.join(dims + cells)} FROM {COMPARED} {group}"
+
+
+ORACLE["forecast_report_sums"] = " UNION ALL ".join(
+    _report_level(level, target)
+    for level in (
+        [], ["Heure"], ["Heure", "terminal"], ["direction"], ["Heure", "terminal", "direction"]
+    )
+    for target in ("pax", "reduced")
+)
+ORACLE["french_payloads"] = f"""
+WITH p AS (
+    SELECT location AS zone, CAST(population AS BIGINT) // 400 AS number, count(*) AS n FROM {RECORDS} GROUP BY ALL
+), a AS (
+    SELECT zone, sum(n) + CASE WHEN zone = '5-LOW' THEN 7 ELSE 0 END AS total_count,
+           coalesce(sum(n) FILTER (WHERE NOT (zone = '2-HIGH' AND number = 0)), 0) AS entries, count(*) AS pages,
+           count(*) FILTER (WHERE zone = '2-HIGH' AND number = 0) AS unreadable
+    FROM p GROUP BY zone
+)
+SELECT zone, CAST(total_count AS INT) AS total_count, CAST(entries AS BIGINT) AS entries, pages, unreadable,
+       total_count = entries AND unreadable = 0 AS complete FROM a
+"""
+ORACLE["french_records"] = f"""
+SELECT location AS zone, description, start_date, end_date, annee_scolaire, population, zones, location
+FROM {RECORDS} WHERE NOT (location = '2-HIGH' AND CAST(population AS BIGINT) // 400 = 0)
+"""
+ORACLE["csv_round_trip"] = f"""
+SELECT id, CAST(ts AS DATE) AS day, terminal, pax, NULL AS line FROM {ORDERS} WHERE id % 10 NOT IN (3, 7, 9)
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, id || ',' || strftime(ts, '%Y-%m-%d') || CASE id % 10
+           WHEN 3 THEN ',' || terminal || ',x' || pax WHEN 9 THEN ',' || terminal || ',' || pax || ',more'
+           ELSE '' END
+FROM {ORDERS} WHERE id % 10 IN (3, 7, 9)
+"""
+ORACLE["dated_outputs"] = f"""
+SELECT terminal, CAST(sum(pax + reduced) AS BIGINT) AS total, DATE '2024-01-15' AS run_date
+FROM {EVENTS} GROUP BY terminal
+UNION ALL
+SELECT terminal, CAST(sum(reduced) AS BIGINT), DATE '2024-01-16' FROM {EVENTS} GROUP BY terminal
+"""
+ORACLE["preprocessed_rows"] = f"""
+WITH n AS (
+    SELECT id, ts, terminal, CASE WHEN id % 5 = 0 THEN 2 ELSE 1 END AS version,
+           CASE WHEN id % 5 = 0 THEN pax + 1 ELSE pax END AS pax FROM {ORDERS}
+)
+SELECT id, ts, terminal, version, 'pax' AS "set", pax AS value FROM n
+UNION ALL SELECT id, ts, terminal, version, 'reduced', CAST(pax % 3 AS INT) FROM n
+"""
+ORACLE["reused_store"] = f"""
+SELECT CAST(step AS INT) AS step, CAST(CASE WHEN step > 2 THEN 2 ELSE 1 END AS BIGINT) AS version, terminal,
+       CASE WHEN step > 2 THEN count(*) + count(*) FILTER (WHERE id % 2 = 0) ELSE count(*) END AS rows
+FROM {ORDERS}, range(1, 5) AS s(step) GROUP BY step, terminal
 """

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from paxflow.config import ROLLING_ROWS
 from paxflow.functions import text as X
 from paxflow.operators import calendar, features, holidays, hourly, lags, metrics, rolling
 from paxflow.operators import model as M
 from paxflow.operators import split, staffing, trend
-from paxflow.sources.holidays import foreign_periods
+from paxflow.job import unique_rows
+from paxflow.plans.stage import staging_path
+from paxflow.sources import store, tables
+from paxflow.sources.holidays import foreign_periods, zone_pages
 from workload import views as V
 from workload.views import ROLES, rounded
 
@@ -211,15 +215,21 @@ def _compared(spark, sf_dir) -> DataFrame:
 @query
 def merge_predictions(spark, sf_dir):
     rows = _predicted(spark, sf_dir)
-    passengers = rows.where(F.col("value") >= 40).select("flight", "ts", "pred_pax")
-    reduced = rows.where(F.col("value") <= 400).select("flight", "ts", "pred_reduced")
+    passengers = rows.select("flight", "ts", "pred_pax")
+    # The second model knows other names for some flights and no name for others.
+    other = F.when(F.col("flight").endswith("7"), F.concat(F.lit("X"), "flight"))
+    named = other.when(~F.col("flight").endswith("3"), F.col("flight"))
+    reduced = rows.select(named.alias("flight"), "ts", "pred_reduced")
     return metrics.merge_predictions(passengers, reduced, ROLES)
 
 
 @query
 def forecast_join(spark, sf_dir):
     rows = _predicted(spark, sf_dir)
-    predicted = rows.where(F.col("value") >= 40).select("flight", "ts", "pred_pax")
+    # Orders of other years are forecast too: their flights and times meet no actual.
+    others = V.orders(spark, sf_dir).select("flight", "ts", F.col("pax").alias("pred_pax"))
+    late = F.when(F.col("flight").endswith("5"), F.col("ts") + F.expr("INTERVAL '1' SECOND"))
+    predicted = rows.select("flight", F.coalesce(late, "ts").alias("ts"), "pred_pax").unionByName(others)
     return metrics.forecast_join(V.events(spark, sf_dir), predicted, ROLES, how="left")
 
 
@@ -473,8 +483,8 @@ def split_rows(spark, sf_dir):
     return split.with_split(rows, INCLUSIVE, ROLES)
 
 
-def _fitted(spark, sf_dir):
-    rows = calendar.date_features(V.orders(spark, sf_dir), ROLES)
+def _fitted(orders: DataFrame):
+    rows = calendar.date_features(orders, ROLES)
     train, valid, test = split.split_sets(rows, LIMITS, ROLES)
     return M.fit(train, valid, "pax", BOOSTING, ROLES), test
 
@@ -485,25 +495,203 @@ def target_means(spark, sf_dir):
     return rounded(M.target_means(rows, ["terminal", "flight", "direction"], "pax"))
 
 
+def _regular(spark, sf_dir) -> DataFrame:
+    """Orders whose passengers follow the seats, the priority and the month but for a small rest."""
+    digit = F.substring("terminal", 1, 1).cast("int")
+    uneven = F.element_at(F.array(*map(F.lit, (120, 0, 80, 20, 60))), digit)
+    pax = F.col("seats") + uneven + 5 * F.month("ts") + F.col("pax") % 7
+    return V.orders(spark, sf_dir).withColumn("pax", pax.cast("int"))
+
+
+_models: dict[tuple[str, str, Query], tuple] = {}
+
+
+def _trained(spark, sf_dir, view: Query = V.orders):
+    """The model of a session, folder and view, trained once for the queries that show it."""
+    key = (spark.sparkContext.applicationId, sf_dir, view)
+    if key not in _models:
+        _models[key] = _fitted(view(spark, sf_dir))
+    return _models[key]
+
+
 @query
 def gbt_forecast(spark, sf_dir):
     """Every row of the test set: its forecast is a whole number and not negative."""
-    model, test = _fitted(spark, sf_dir)
+    model, test = _trained(spark, sf_dir)
     found = M.predict(model, test, "pred_pax")
     valid = (F.col("pred_pax") >= 0) & (F.col("pred_pax") == F.floor("pred_pax"))
     return found.select("id", "ts", "pax", valid.alias("valid"))
 
 
+@query
+def gbt_predictions(spark, sf_dir):
+    """The forecasts themselves."""
+    model, test = _trained(spark, sf_dir)
+    return M.predict(model, test, "pred_pax").select("id", "ts", "pax", "pred_pax")
+
+
+@query
+def forecast_quality(spark, sf_dir):
+    """The test rows, the error of the training mean, and whether the forecast's error is less
+    than half of it."""
+    model, test = _trained(spark, sf_dir, _regular)
+    mean = split.split_sets(_regular(spark, sf_dir), LIMITS, ROLES)[0].agg(F.avg("pax")).first()[0]
+    found = M.predict(model, test, "pred_pax")
+    plain, own = F.avg(F.abs(F.col("pax") - F.lit(mean))), F.avg(F.abs(F.col("pax") - F.col("pred_pax")))
+    spread = F.count_distinct("pred_pax") > 1
+    return rounded(
+        found.agg(
+            F.count("*").alias("rows"),
+            F.sum("pax").alias("pax"),
+            plain.alias("mae_of_mean"),
+            (own < 0.5 * plain).alias("forecast_is_better"),
+            spread.alias("forecasts_differ"),
+        )
+    )
+
+
 @query
 def feature_importance(spark, sf_dir):
-    """The importances: how many, whether they are shares that sum up to one, and the top twenty."""
-    model, _ = _fitted(spark, sf_dir)
+    """A row per input of the model: its importance is a share, and all of them sum up to one."""
+    model, _ = _trained(spark, sf_dir)
     found = M.feature_importance(model)
-    top = [r.importance for r in M.top_features(model).collect()]
-    falling = top == sorted(top, reverse=True) and len(top) == min(20, len(model.inputs))
-    return found.agg(
-        F.count("*").alias("inputs"),
-        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
-        (F.min("importance") >= 0).alias("none_negative"),
-        F.lit(falling).alias("top_falls"),
+    share = F.col("importance").between(0, 1)
+    whole = F.abs(F.sum("importance").over(Window.partitionBy()) - 1) < 1e-9
+    return found.select("feature", share.alias("is_share"), whole.alias("sums_to_one"))
+
+
+@query
+def top_features(spark, sf_dir):
+    """The twenty most important inputs."""
+    return M.top_features(_trained(spark, sf_dir, _regular)[0])
+
+
+@query
+def learning_curve(spark, sf_dir):
+    """The validation error of each round, and the round that the patience rule chooses."""
+    return M.stopping(_trained(spark, sf_dir, _regular)[0].errors, BOOSTING.patience)
+
+
+@query
+def stopping_rule(spark, sf_dir):
+    """The patience rule over many curves: the error of each day as a round, per terminal."""
+    days = _compared(spark, sf_dir).groupBy("terminal", F.to_date("ts").alias("day"))
+    errors = days.agg(F.sum(F.abs(F.col("pax") - F.col("pred_pax"))).alias("error"))
+    order = Window.partitionBy("terminal").orderBy("day")
+    errors = errors.withColumn("round", F.row_number().over(order)).drop("day")
+    return M.stopping(errors, 3, ["terminal"], "error")
+
+
+@query
+def category_index(spark, sf_dir):
+    rows = V.orders(spark, sf_dir)
+    return M.category_index(M.category_counts(rows, ["terminal", "flight", "direction"]), 64)
+
+
+# --- reports, sources and stores ---
+
+
+@query
+def forecast_report_sums(spark, sf_dir):
+    """Errors of both targets at every level of the report, from one aggregation."""
+    rows = _predicted(spark, sf_dir)
+    names = {"pred_pax": "Predpax", "pred_reduced": "Predreduced"}
+    predicted = rows.select("flight", "ts", *[F.col(c).alias(n) for c, n in names.items()])
+    return rounded(metrics.forecast_report(predicted, V.events(spark, sf_dir), None, ROLES)["errors"])
+
+
+def _french_pages(spark, sf_dir):
+    """The school records as a service's pages; one zone lacks entries, one has a cut page."""
+    rows = V.school_records(spark, sf_dir)
+    cells = ["description", "start_date", "end_date", "annee_scolaire", "population", "zones", "location"]
+    page = F.floor(F.col("population").cast("long") / 400)
+    pages = rows.groupBy(F.col("location").alias("zone"), page.alias("number")).agg(
+        F.collect_list(F.struct(*cells)).alias("results")
+    )
+    more = F.when(F.col("zone") == "5-LOW", 7).otherwise(0)
+    totals = rows.groupBy(F.col("location").alias("zone")).agg(F.count("*").alias("n"))
+    whole = F.to_json(F.struct((F.col("n") + more).alias("total_count"), "results"))
+    cut = (F.col("zone") == "2-HIGH") & (F.col("number") == 0)
+    text = F.when(cut, F.substring(whole, 1, 60)).otherwise(whole)
+    payloads = pages.join(totals, "zone").select("zone", text.alias("value"))
+    return zone_pages(payloads)
+
+
+@query
+def french_payloads(spark, sf_dir):
+    """What was read of each zone against what the service states."""
+    return _french_pages(spark, sf_dir)[1]
+
+
+@query
+def french_records(spark, sf_dir):
+    return _french_pages(spark, sf_dir)[0]
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """Orders as CSV lines, some of them broken, as good and bad rows of one read."""
+    rows = V.orders(spark, sf_dir)
+    kind = F.col("id") % 10
+    pax = F.when(kind == 3, F.concat(F.lit("x"), F.col("pax").cast("string"))).otherwise(
+        F.col("pax").cast("string")
     )
+    cells = [F.col("id").cast("string"), F.date_format("ts", "yyyy-MM-dd"), F.col("terminal"), pax]
+    line = F.concat_ws(",", *cells)
+    short = F.concat_ws(",", *cells[:2])
+    line = F.when(kind == 7, short).when(kind == 9, F.concat(line, F.lit(",more"))).otherwise(line)
+    path = staging_path(spark, "csv")
+    rows.select(line.alias("value")).write.text(path)
+    schema = "id LONG, day DATE, terminal STRING, pax INT"
+    good, bad = tables.read_csv_checked(spark, path, schema, header="false")
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(
+        bad.select("line"), allowMissingColumns=True
+    )
+
+
+@query
+def dated_outputs(spark, sf_dir):
+    """Two days are written, then the first again with other figures; the table read back."""
+    path = staging_path(spark, "dated")
+    by_terminal = V.events(spark, sf_dir).groupBy("terminal")
+    first, second, again = (
+        by_terminal.agg(F.sum(c).alias("total"))
+        for c in (F.col("pax"), F.col("reduced"), F.col("pax") + F.col("reduced"))
+    )
+    for rows, day in ((first, 15), (second, 16), (again, 15)):
+        tables.write_dated(rows, path, datetime.date(2024, 1, day))
+    return spark.read.schema("terminal STRING, total LONG, run_date DATE").parquet(path)
+
+
+@query
+def preprocessed_rows(spark, sf_dir):
+    """Movements with older and newer versions of some, as the two data sets see them."""
+    rows = V.orders(spark, sf_dir).withColumn("version", F.lit(1))
+    older = rows.where("id % 3 = 0").withColumns({"version": F.lit(0), "pax": F.col("pax") - 1})
+    newer = rows.where("id % 5 = 0").withColumns({"version": F.lit(2), "pax": F.col("pax") + 1})
+    unversioned = rows.where("id % 7 = 0").withColumns({"version": F.lit(None), "pax": F.lit(-1)})
+    both = rows.unionByName(older).unionByName(newer).unionByName(unversioned)
+    both = unique_rows(both.withColumn("reduced", F.col("pax") % 3), "id", ["version"])
+    passengers, reduced = split.target_sets(both, ROLES)
+    columns = ["id", "ts", "terminal", "version"]
+    return passengers.select(*columns, F.lit("pax").alias("set"), F.col("pax").alias("value")).unionByName(
+        reduced.select(*columns, F.lit("reduced").alias("set"), F.col("reduced").alias("value"))
+    )
+
+
+@query
+def reused_store(spark, sf_dir):
+    """A stored table: made, used again, and made anew when its source has one more file."""
+    source, path = staging_path(spark, "source"), staging_path(spark, "store")
+    rows = V.orders(spark, sf_dir)
+    out = None
+    for step, files in enumerate((rows, None, rows.where("id % 2 = 0"), None), 1):
+        if files is not None:
+            files.write.mode("append").parquet(source)
+        build = lambda: spark.read.parquet(source).groupBy("terminal").agg(F.count("*").alias("rows"))
+        version = store.reuse(spark, path, build, [source], rows.schema)
+        found = store.read_version(spark, version).select(
+            F.lit(step).alias("step"), F.lit(version.number).cast("long").alias("version"), "terminal", "rows"
+        )
+        out = found if out is None else out.unionByName(found)
+    return out
