@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -25,6 +26,9 @@ from paxflow.llm.tokens import token_counts
 from paxflow.llm.toxic_spans import toxic_spans
 from paxflow.plans.stage import staged
 
+#: Names the session's key of op6; a deployment sets it from its own secrets.
+PSEUDONYM_KEY = "spark.paxflow.pseudonyms.key"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -120,7 +124,8 @@ SELECT *, NOT base_failed AND removed_words <= 0.5 * n_words AS kept FROM rated
 
 @query
 def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, count = replace_values(table(spark, sf_dir, "documents"))
+    key = spark.conf.get(PSEUDONYM_KEY, None) or secrets.token_hex(32)  # else of this run alone
+    docs, count = replace_values(table(spark, sf_dir, "documents"), key)
     return docs.select("doc_id", "text", count)
 
 

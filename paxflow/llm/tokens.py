@@ -23,6 +23,8 @@ from paxflow.llm.chunks import over_chunks
 
 #: A blank without white space on either side: no pre-token reaches across it.
 CUT = re.compile(r" (?<!\s )(?!\s)")
+#: White space that is neither a blank nor the end of a line.
+RARE = re.compile(r"[^\S \n]")
 #: Marks a chunk at a start (of the text or after a special string), where no blank goes before.
 START = "\x01"
 
@@ -42,6 +44,13 @@ def special_strings(path: str) -> re.Pattern | None:
     return re.compile("(" + "|".join(words) + ")") if words else None
 
 
+def _cut(text: str) -> list[str]:
+    """``CUT.split``; where no blank stands beside white space, all blanks are cuts."""
+    if "  " in text or " \n" in text or "\n " in text or RARE.search(text):
+        return CUT.split(text)
+    return text.split(" ")
+
+
 def pre_tokens(text: str, path: str) -> list[str]:
     """The chunks of a text; a chunk without ``START`` stands after a blank that belongs to it."""
     if not text:
@@ -53,10 +62,10 @@ def pre_tokens(text: str, path: str) -> list[str]:
         out = []
         for piece in special.split(text):
             if piece:
-                chunks = CUT.split(piece)
+                chunks = _cut(piece)
                 out += [START + chunks[0], *chunks[1:]]
         return out
-    chunks = CUT.split(text)
+    chunks = _cut(text)
     chunks[0] = START + chunks[0]
     return chunks
 
@@ -100,8 +109,9 @@ def _ids_of(chunks: set[str], path: str) -> dict[str, bytes]:
     return out
 
 
-#: Chunks whose ids a worker remembers as used of late; as many older ones are at hand.
-REMEMBERED = 700_000
+#: Chunks whose ids a worker remembers as used of late, as many older ones being at hand; and the
+#: longest chunk that is remembered, which bounds the memory in bytes.
+REMEMBERED, LONGEST = 700_000, 80
 _known: dict[str, list[dict[str, bytes]]] = {}
 
 
@@ -112,16 +122,20 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     """
     known = _known.setdefault(path, [{}, {}])
     cut = [pre_tokens(text, path) for text in texts]
-    new = {chunk for chunks in cut for chunk in chunks}
+    new = set().union(*cut)
     if len(known[0]) + len(new) > REMEMBERED:
         known[:] = [{}, known[0]]
     late, old = known
-    new.difference_update(late)
+    new = new.difference(late)
     again = new & old.keys()
     late.update(zip(again, map(old.__getitem__, again)))
     new -= again
     late.update(_ids_of(new, path))
-    return [b"".join(map(late.__getitem__, chunks)) for chunks in cut]
+    ids = [b"".join(map(late.__getitem__, chunks)) for chunks in cut]
+    for chunk in new:
+        if len(chunk) > LONGEST:
+            del late[chunk]
+    return ids
 
 
 def token_counts(

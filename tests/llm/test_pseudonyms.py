@@ -97,3 +97,17 @@ def test_query_hides_every_valid_value(spark):
         assert not [v for v in values if v in after[doc].text]
         if not re.search(r"[0-9@]", text):
             assert after[doc].text == text and after[doc].n_values == 0
+
+
+def test_long_texts_of_one_unit_do_no_harm(spark):
+    units = ["a.", "x@a.", "1.", "1-", "0a"]
+    rows = [(i, "x@" + u * (200_000 // len(u)) + " end", None, 1) for i, u in enumerate(units)]
+    out, _ = replace_values(texts(spark, rows).repartition(4), "k")
+    assert out.filter("length(text) > 190000").count() == len(rows)
+
+
+def test_only_changed_values_count(spark):
+    docs = texts(spark, [(1, "from иван@x.ru to q@x.org", None, 1)])
+    out, count = replace_values(docs, "k")
+    row = out.first()
+    assert row[count] == 1 and "иван@x.ru" in row.text and "q@x.org" not in row.text
