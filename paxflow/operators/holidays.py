@@ -200,6 +200,12 @@ def country_split(df: DataFrame, country: str = "country") -> tuple[DataFrame, D
     return df.where(french), df.where(~french)
 
 
+def with_country_branch(df: DataFrame, country: str = "country", name: str = "branch") -> DataFrame:
+    """The two sides of :func:`country_split` in one pass, told apart by ``name``."""
+    side = F.when(is_french(F.col(country)), "France").otherwise("abroad")
+    return df.withColumn(name, side)
+
+
 def school_flags_france(df: DataFrame, periods: DataFrame, lookup: DataFrame) -> DataFrame:
     zoned = with_school_zone(df, lookup).withColumn("zone", zone_key(F.col("holiday_zone")))
     spelled = periods.withColumn("zone", zone_key(F.col("zone")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from paxflow.config import Roles
+from paxflow.config import UNASSIGNED_TERMINAL, Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio, whole_count
 from paxflow.operators.hourly import hour_of_day, totals_by
@@ -235,6 +235,8 @@ def forecast_report(
     }
 
 
-def assigned_terminals(df: DataFrame, unassigned: str, roles: Roles = Roles()) -> DataFrame:
+def assigned_terminals(
+    df: DataFrame, unassigned: str = UNASSIGNED_TERMINAL, roles: Roles = Roles()
+) -> DataFrame:
     """Rows with any terminal other than ``unassigned``; a missing terminal stays."""
     return df.where(~F.col(roles.terminal).eqNullSafe(F.lit(unassigned)))

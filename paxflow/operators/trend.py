@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from paxflow.config import STATISTICS, Roles
+from paxflow.config import STATISTICS, TREND_DAYS, Roles
 from paxflow.functions import dates as D
 from paxflow.functions.numbers import ratio_or_one
 from paxflow.operators.rolling import attach, group_name, narrow, spread_join
@@ -72,3 +72,14 @@ def trend_stats(
 
 def trend_features(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
     return attach(df, trend_stats(df, keys, roles=roles, **options), roles)
+
+
+def all_trend_features(
+    df: DataFrame, keys: list[str], roles: Roles = Roles(), pairs=TREND_DAYS, **options
+) -> DataFrame:
+    """The rows with the trends of every pair of windows, joined by row id one pair at a time."""
+    out = df
+    for short, long in pairs:
+        stats = trend_stats(df, keys, short, long, roles=roles, **options)
+        out = attach(out, stats, roles)
+    return out

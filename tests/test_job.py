@@ -134,3 +134,56 @@ def test_run(spark, movements, tmp_path):
     assert [r.LTScheduledDatetime for r in rows] == sorted(r.LTScheduledDatetime for r in rows)
     assert sum(r.PredNbPaxTotal for r in rows) == sum(r.PredNbPaxTotal for r in flights.collect())
     assert list((tmp_path / "out" / "hourly_predictions_2024-03-01").glob("part-*.csv"))
+
+
+def test_run_with_holidays_and_versions(spark, movements, tmp_path):
+    """Older versions of rows do not count, flags are inputs, a changed source makes new data sets, and a
+    rerun of a day leaves other days alone."""
+    source = str(tmp_path / "source")
+    movements = movements.withColumn("AirportPrevious", F.lit("CDG"))
+    older = movements.where("IdMovement % 5 = 0").withColumns({"NbPaxTotal": F.lit(9_999), "IdADL": F.lit(0).cast("long")})
+    versions = movements.withColumn("IdADL", F.lit(1).cast("long")).unionByName(older)
+    versions.write.parquet(source)
+    days = movements.select(F.to_date("LTScheduledDatetime").alias("day")).distinct()
+    flags = days.select(
+        "day",
+        F.explode(F.array(F.lit("NCE"), F.lit("CDG"))).alias("AirportDeparture"),
+        (F.dayofweek("day") == 1).cast("int").alias("IsPublicHolidays"),
+        F.lit(0).alias("IsScholarHolidays"),
+    )
+    asked = []
+
+    def ingest():
+        asked.append(1)
+        return spark.read.parquet(source)
+
+    def config(day):
+        return RunConfig(
+            run_date=day,
+            data_dir=str(tmp_path / "data"),
+            model_dir=str(tmp_path / "models"),
+            output_dir=str(tmp_path / "out"),
+            force_train=False,
+            boosting=M.Boosting(rounds=2, depth=2, step=0.5),
+            flags=flags,
+            home="NCE",
+            newest=("IdADL",),
+            sources=(source,),
+            source_schema=movements.schema,
+        )
+
+    first = run(spark, config(dt.date(2024, 3, 1)), ingest)[1]
+    assert first.count() == 16 and first.agg(F.max("PredNbPaxTotal")).first()[0] < 500
+    run(spark, config(dt.date(2024, 2, 29)), ingest)
+    run(spark, config(dt.date(2024, 3, 1)), ingest)
+    assert len(asked) == 1
+    stored = spark.read.parquet(str(tmp_path / "out" / "flight_predictions")).groupBy("run_date").count()
+    assert {r.run_date.day: r["count"] for r in stored.collect()} == {1: 16, 29: 16}
+    how = {"flags": flags, "home": "NCE", "newest": ["IdADL"], "sources": [source], "schema": movements.schema}
+    passengers, reduced = load_or_prepare(spark, str(tmp_path / "data"), ingest, **how)
+    assert passengers.count() == movements.count() == reduced.count() and len(asked) == 1
+    assert {"IsPublicHolidays", "IsScholarHolidays"} <= set(passengers.columns) & set(reduced.columns)
+    assert passengers.where("IsPublicHolidays = 1").count() == 8 * 8 + 8
+    movements.limit(0).coalesce(1).write.mode("append").parquet(source)
+    load_or_prepare(spark, str(tmp_path / "data"), ingest, **how)
+    assert len(asked) == 2

@@ -9,19 +9,21 @@ import pytest
 from paxflow import config
 from paxflow.config import Roles
 from paxflow.functions.numbers import whole_count
+from paxflow.functions.text import cell
 from paxflow.operators import hourly, metrics, split, staffing
 from paxflow.sources.tables import write_report
 from pyspark.sql import functions as F
 
 ROLES = Roles(time="ts", row_id="id", target="pax", flight="flight", terminal="terminal")
 
-# Known figures of 2026-04-01: passengers by hour, forecast and counted.
+# --- Fixed values: known figures of 2026-04-01, passengers by hour, forecast and counted. ---
 PREDICTED = [394, 152, 0, 0, 3, 179, 1174, 1175, 806, 1807, 1830, 1551, 2590, 2258, 688, 748, 1199,
              1087, 1570, 1051, 1425, 869, 674, 792]
 COUNTED = [131, 174, 0, 0, 0, 185, 1228, 1184, 743, 1663, 1931, 1965, 2952, 2074, 513, 918, 1096,
            1213, 1629, 1582, 1532, 753, 620, 602]
 PRESENT = [16] * 6 + [48] * 3 + [80] * 3 + [104] * 3 + [72] * 3 + [64] * 6
 STARTS = {0: 16, 6: 48, 9: 32, 12: 72, 18: 64}
+# --- end of fixed values ---
 
 
 @pytest.fixture(scope="module")
@@ -91,6 +93,12 @@ def test_levels(spark):
     assert [r.pred for r in tables["Hourly"].collect()] == [15]
 
 
+def test_a_wide_cell_stays_whole(spark):
+    rows = spark.createDataFrame([("+ 1040 SHIFT START | - 1040 SHIFT END",), ("---",), (None,)], "t STRING")
+    found = [r[0] for r in rows.select(cell(F.col("t"), 35)).collect()]
+    assert found == ["+ 1040 SHIFT START | - 1040 SHIFT END", "---".ljust(35), None]
+
+
 def test_half_even_rounding(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (-3.0,)], "x DOUBLE")
     assert [r[0] for r in df.select(whole_count(F.col("x"))).collect()] == [0, 2, 2, 0]

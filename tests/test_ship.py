@@ -1,4 +1,4 @@
-"""The entry alone must make the package known to the executors."""
+"""The entry alone, called from an empty folder, must make the package known to the Python workers."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ spec = importlib.util.spec_from_file_location("entry", sys.argv[1])
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
 from pyspark.sql import SparkSession
-spark = (SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false")
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", sys.argv[2]).config("spark.sql.shuffle.partitions", "2").getOrCreate())
 print("ROWS", entry.queries()["rolling_global"](spark, "/root/testdata/sf0.001").count())
 """

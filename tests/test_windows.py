@@ -217,3 +217,10 @@ def test_public_forms_keep_all_columns(spark):
         lags.lagged_window_features(df, ["grp"], roles=ROLES),
     ):
         assert set(df.columns) <= set(out.columns) and out.count() == 31
+
+
+def test_all_pairs_of_trends(spark):
+    df = spark.createDataFrame(make_rows(30), SCHEMA)
+    out = trend.all_trend_features(df, ["grp"], ROLES, ((2, 7), (7, 9)), stats=("mean",))
+    assert out.columns == [*df.columns, "grp_trend_2D_vs_7D_mean", "grp_trend_7D_vs_9D_mean"]
+    assert out.count() == 31

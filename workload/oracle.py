@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from paxflow.config import CITY_DISTRICT, LAGGED_WINDOWS, LAGS, MOMENTUM_PAIRS, ROLLING_ROWS
 from paxflow.config import CYCLES
-from workload.views import digits
 
 ORACLE: dict[str, str] = {}
 
+#: Digits that double columns are compared by.
+DIGITS = 6
+
 STATS = {
     "mean": "avg({v})",
     "min": "min({v})",
@@ -39,7 +41,7 @@ PREDICTED = """(
 
 def r(expression: str, name: str) -> str:
     """Rounded like ``views.rounded``."""
-    scale = f"1e{digits(name)}"
+    scale = f"1e{DIGITS}"
     return f"round_even(CAST({expression} AS DOUBLE) * {scale}, 0) / {scale} + 0.0 AS {name}"
 
 
@@ -801,3 +803,21 @@ SELECT CAST(step AS INT) AS step, CAST(CASE WHEN step > 2 THEN 2 ELSE 1 END AS B
        CASE WHEN step > 2 THEN count(*) + count(*) FILTER (WHERE id % 2 = 0) ELSE count(*) END AS rows
 FROM {ORDERS}, range(1, 5) AS s(step) GROUP BY step, terminal
 """
+ORACLE["zone_lookup_file"] = ORACLE["zone_lookup"]
+ORACLE["report_files"] = f"SELECT day, line FROM ({ORACLE['staffing_report']})"
+ORACLE["movement_source"] = f"""
+SELECT id AS IdMovement, ts AS LTScheduledDatetime, pax AS NbPaxTotal, terminal AS SysTerminal,
+       CAST(NULL AS VARCHAR) AS ServiceCode FROM {ORDERS}
+"""
+ORACLE["run_limits"] = f"""
+SELECT CASE WHEN ts < TIMESTAMP '1999-07-02' THEN 'train' WHEN ts < TIMESTAMP '2000-07-01' THEN 'valid'
+            ELSE 'test' END AS split, count(*) AS rows, min(ts) AS first_time, max(ts) AS last_time
+FROM {ORDERS} WHERE ts < TIMESTAMP '2000-07-31' GROUP BY 1
+"""
+ORACLE["text_times"] = f"""
+SELECT id, CASE id % 5 WHEN 0 THEN date_trunc('day', ts) + INTERVAL '10 hours 30 minutes'
+                       WHEN 1 THEN date_trunc('day', ts) + INTERVAL '8 hours 30 minutes'
+                       WHEN 2 THEN date_trunc('day', ts) + INTERVAL '26 hours'
+                       WHEN 3 THEN CAST(date_trunc('day', ts) AS TIMESTAMP) END AS ts
+FROM {ORDERS}
+"""

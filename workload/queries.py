@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from paxflow.config import ROLLING_ROWS
+from paxflow.config import MOVEMENT_COLUMNS, ROLLING_ROWS
+from paxflow.functions import dates as D
 from paxflow.functions import text as X
 from paxflow.operators import calendar, features, holidays, hourly, lags, metrics, rolling
 from paxflow.operators import model as M
@@ -15,7 +16,7 @@ from paxflow.operators import split, staffing, trend
 from paxflow.job import unique_rows
 from paxflow.plans.stage import staging_path
 from paxflow.sources import store, tables
-from paxflow.sources.holidays import foreign_periods, zone_pages
+from paxflow.sources.holidays import foreign_periods, read_zone_lookup, write_zone_lookup, zone_pages
 from workload import views as V
 from workload.views import ROLES, rounded
 
@@ -446,11 +447,7 @@ def country_split_union(spark, sf_dir):
         "previous",
         "left",
     )
-    france, abroad = holidays.country_split(rows, "place")
-    return (
-        france.select("id", "place", F.lit("France").alias("branch"), "direction")
-        .unionByName(abroad.select("id", "place", "direction", F.lit("abroad").alias("branch")))
-    )
+    return holidays.with_country_branch(rows, "place").select("id", "place", "branch", "direction")
 
 
 @query
@@ -695,3 +692,59 @@ def reused_store(spark, sf_dir):
         )
         out = found if out is None else out.unionByName(found)
     return out
+
+
+@query
+def zone_lookup_file(spark, sf_dir):
+    """The lookup of zones, saved as one JSON object and read back."""
+    path = staging_path(spark, "lookup")
+    write_zone_lookup(holidays.zone_lookup(V.school_records(spark, sf_dir)), path)
+    return read_zone_lookup(spark, path)
+
+
+@query
+def report_files(spark, sf_dir):
+    """Every day's report as a file of lines, read back."""
+    path = staging_path(spark, "reports")
+    tables.write_report(staffing.staffing_report(_plan(spark, sf_dir)), path)
+    return spark.read.schema("value STRING, day DATE").text(path).select("day", F.col("value").alias("line"))
+
+
+@query
+def movement_source(spark, sf_dir):
+    """Movements of a stored table with more columns than asked for, newest first."""
+    path = staging_path(spark, "movements")
+    rows = V.orders(spark, sf_dir).select(
+        F.col("id").alias("IdMovement"),
+        F.col("ts").alias("LTScheduledDatetime"),
+        F.col("pax").alias("NbPaxTotal"),
+        F.col("terminal").alias("SysTerminal"),
+        F.lit("x").alias("unwanted"),
+    )
+    missing = [c for c in MOVEMENT_COLUMNS if c not in rows.columns]
+    tables.write_parquet(rows.withColumns({c: F.lit(None).cast("string") for c in missing}), path)
+    found = tables.read_movements(spark, path, newest_first=True)
+    return found.select("IdMovement", "LTScheduledDatetime", "NbPaxTotal", "SysTerminal", "ServiceCode")
+
+
+@query
+def run_limits(spark, sf_dir):
+    """The sets of a run on a given day."""
+    limits = split.Limits.for_run(datetime.date(2000, 7, 1), predict_days=30, val_days=365)
+    return split.split_summary(V.orders(spark, sf_dir), limits, ROLES)
+
+
+@query
+def text_times(spark, sf_dir):
+    """Times as text: without a zone, with several zones, as a day only, and unreadable."""
+    rows = V.orders(spark, sf_dir)
+    day, kind = F.date_format("ts", "yyyy-MM-dd"), F.col("id") % 5
+    text = (
+        F.when(kind == 0, F.concat(day, F.lit(" 10:30:00")))
+        .when(kind == 1, F.concat(day, F.lit("T10:30:00+02:00")))
+        .when(kind == 2, F.concat(day, F.lit("T22:30:00-0330")))
+        .when(kind == 3, day)
+        .otherwise(F.concat(F.lit("on "), day))
+    )
+    texts = rows.select("id", text.alias("ts"))
+    return texts.select("id", D.local_time(texts, "ts").alias("ts"))
