@@ -3,6 +3,11 @@
 ``run`` reads ``documents`` (and ``labels`` for the mixture) and returns one row per document that
 stays: its number of tokens and the digests of its ids and of the text decoded from them. The texts
 of documents that stay are whole: the quality stage drops documents, not lines.
+
+Defined results: a null text counts as empty, which the quality rules reject, as they do texts of fewer
+than twenty words; repeated rows are exact copies, of which one stays; a null language or source is a
+value of its own; an empty table gives an empty result; further columns of ``documents`` are carried to
+the last stage, whatever their names.
 """
 
 from __future__ import annotations

@@ -5,7 +5,6 @@ from __future__ import annotations
 import secrets
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -255,8 +254,3 @@ SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
 FROM valued n JOIN below b ON b.e = n.d AND b.k = n.k JOIN leaves l ON l.e = n.d AND l.k = n.k
 LEFT JOIN valued p ON p.d = n.d - 1 AND p.k = list_slice(n.k, 1, n.d - 1) AND n.d > 0
 """
-
-
-QUERIES["pipeline"] = corpus_pipeline.run
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
