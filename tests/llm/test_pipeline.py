@@ -10,7 +10,7 @@ import pytest
 from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
-from paxflow.llm.queries import ORACLE, QUERIES
+from paxflow.llm.queries import ORACLE
 from tests.llm.test_shingle_join import brute
 from workload.compare import connect
 
@@ -80,4 +80,4 @@ def test_pieces_and_run(spark, steps):
             )
         )
     assert set(map(tuple, steps[5])) == wanted and len(steps[5]) == len(wanted)
-    assert set(map(tuple, QUERIES["pipeline"](spark, SF_DIR).collect())) == wanted
+    assert set(map(tuple, corpus_pipeline.run(spark, SF_DIR).collect())) == wanted
