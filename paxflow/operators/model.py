@@ -31,6 +31,10 @@ MISSING = -1.0e6
 #: Parts of the training rows; a part is described by the means of the others.
 FOLDS = 5
 
+#: Rows of a partition that trees are trained on. Spark ML keeps a partition as objects, some 450 bytes
+#: a row, and a task reads one whole in every level of every round.
+TREE_ROWS = 200_000
+
 
 @dataclass(frozen=True)
 class Boosting:
@@ -318,6 +322,16 @@ def stopping(errors: DataFrame, patience: int, by: list[str] = (), error: str =
     return found.withColumns({"chosen": chosen, "stopped": stopped}).drop("_record", "_stop")
 
 
+def even_parts(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Stored rows in partitions of about ``TREE_ROWS`` rows, whatever the files they come from.
+
+    A file's row group is one partition, and small ones are read together, so partitions else grow
+    with the input. The order in a partition is fixed, as Spark ML draws its candidate splits by it.
+    """
+    parts = -(-rows.count() // TREE_ROWS)
+    return rows.repartition(parts).sortWithinPartitions(*order) if parts > 1 else rows
+
+
 def fit(
     train: DataFrame,
     valid: DataFrame | None,
@@ -339,8 +353,9 @@ def fit(
     )
     label = F.col(target).cast("double").alias("label")
     described = (means, index, numeric, text, meant, settings.max_bins)
-    rows = with_inputs(known, *described, others, roles.row_id).select("features", label)
-    table = staged(rows, "training-rows")
+    rows = with_inputs(known, *described, others, roles.row_id)
+    rows = rows.select(F.col(roles.row_id).alias("_row"), "features", label)
+    table = even_parts(staged(rows, "training-rows"), ["_row", "label"])
     trees = GBTRegressor(
         labelCol="label",
         featuresCol="features",
