@@ -78,7 +78,7 @@ def history_table(
     roles: Roles = Roles(),
 ) -> DataFrame:
     """One row per group (keys as text, see ``narrow``) and minute that has any history: an array
-    per lag and per lagged window, see :func:`history_columns`.
+    per lag and per lagged window.
 
     Several days may fall on one month end when months are added; the latest of them counts.
     """
@@ -127,18 +127,31 @@ def history_table(
 def history_columns(
     keys: list[str], lags=LAGS, windows=LAGGED_WINDOWS, stats=STATISTICS
 ) -> list[str]:
-    """The packed arrays as columns."""
+    """The packed array as columns."""
     prefix = group_name(keys)
-    return [f"`{packed_name(keys, n)}`[0] AS `{prefix}_lag_{n}_raw`" for n in lags] + [
-        f"`{packed_name(keys, n)}`[{i}] AS `{prefix}_{n}_{s}`"
-        for n in windows
-        for i, s in enumerate(stats)
-    ]
+    names = [f"{prefix}_lag_{n}_raw" for n in lags]
+    names += [f"{prefix}_{n}_{s}" for n in windows for s in stats]
+    return [f"`{packed_name(keys, 'history')}`[{i}] AS `{n}`" for i, n in enumerate(names)]
 
 
-def history_packed(df: DataFrame, keys: list[str], roles: Roles = Roles(), **options) -> DataFrame:
-    """Row id and the history arrays of the row's group and minute."""
-    table = history_table(df, keys, roles=roles, **options)
+def history_packed(
+    df: DataFrame,
+    keys: list[str],
+    roles: Roles = Roles(),
+    lags=LAGS,
+    windows=LAGGED_WINDOWS,
+    stats=STATISTICS,
+) -> DataFrame:
+    """Row id and one array with all history of the row's group and minute, see
+    :func:`history_columns`: what is missing of it is null."""
+    table = history_table(df, keys, lags, windows, stats, roles)
+    sizes = {**dict.fromkeys(lags, 1), **dict.fromkeys(windows, len(stats))}
+    arrays = [
+        f"coalesce(`{packed_name(keys, n)}`, array_repeat(CAST(NULL AS DOUBLE), {size}))"
+        for n, size in sizes.items()
+    ]
+    packed = F.expr(f"concat({', '.join(arrays)})").alias(packed_name(keys, "history"))
+    table = table.select(*keys, MINUTE, packed)
     rows = narrow(df, keys, roles).select(
         roles.row_id, *keys, D.floor_minute(F.col(roles.time)).alias(MINUTE)
     )
