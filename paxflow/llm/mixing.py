@@ -98,7 +98,9 @@ def fit(
     if not samples:
         return weights
     # Words of a few documents would only learn those documents' labels by heart.
-    common = np.bincount(np.concatenate(samples), minlength=FEATURES)
+    common = np.zeros(FEATURES, np.int32)
+    for own in samples:  # each holds a feature once; all together would fill the driver
+        common[own] += 1
     common = common >= max(RARE, len(samples) // RARE_SHARE)
     samples = [x[common[x]] for x in samples]
     squares = np.full(weights.shape, 1e-2, np.float32)
@@ -161,11 +163,14 @@ def posteriors(docs: DataFrame, labels: DataFrame, id_column: str, text_column:
     known = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(domain).alias("domain"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
     sample = made.join(known, "doc_id").select("doc_id", "digest", "features", "domain")
-    sample = sample.dropDuplicates(["doc_id"]).select("features", "domain", "doc_id").collect()
-    sample.sort(key=lambda r: r["doc_id"])
+    # In Arrow's own buffers: rows would hold every sample twice more in the driver.
+    sample = sample.dropDuplicates(["doc_id"]).select("features", "domain", "doc_id").toArrow()
+    ids = sample.column("doc_id").to_pylist()
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    raw = [x.as_buffer() for x in sample.column("features")]
     model = fit(
-        [np.frombuffer(bytes(r["features"]), np.uint32) for r in sample],
-        np.array([r["domain"] for r in sample], np.int64),
+        [np.frombuffer(raw[i], np.uint32) for i in order],
+        sample.column("domain").to_numpy().astype(np.int64)[order],
     )
     shared = spark.sparkContext.broadcast(model)
     columns = ", ".join(f"p_{d} double" for d in DOMAINS)

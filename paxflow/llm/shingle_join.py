@@ -118,21 +118,38 @@ def _summed(table: pa.Table) -> pa.Table:
     return table.slice(0, 1).set_column(2, "counts", pa.array([pack(total.tobytes())], pa.binary()))
 
 
-def fixed_table(rows: DataFrame, count) -> np.ndarray:
-    """Sum what ``count`` makes of each partition: ``2 ** TABLE_BITS`` numbers, whatever the input."""
+def fixed_table(rows: DataFrame, count, value) -> np.ndarray:
+    """Sum what ``count`` makes of each partition: ``2 ** TABLE_BITS`` numbers, whatever the input.
+
+    ``value`` makes a byte of each sum before it leaves the executors, as the driver holds all of them;
+    that of zero is zero.
+    """
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _slices(count(blocks))
 
+    def valued(table: pa.Table) -> pa.Table:
+        summed = _summed(table)
+        sums = np.frombuffer(unpack(summed.column("counts")[0].as_py())[0], np.int64)
+        return summed.set_column(2, "counts", pa.array([pack(value(sums).tobytes())], pa.binary()))
+
     schema = "slice int, lane int, counts binary"
     lanes = rows.mapInArrow(run, schema).groupBy("slice", "lane").applyInArrow(_summed, schema)
-    whole = lanes.groupBy("slice").applyInArrow(_summed, schema).collect()
-    out = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.int64)
-    for r in whole:
-        out[r["slice"]] = np.frombuffer(unpack(bytes(r["counts"]))[0], np.int64)
+    whole = lanes.groupBy("slice").applyInArrow(valued, schema)
+    out = np.zeros((SLICES, (1 << TABLE_BITS) // SLICES), np.uint8)
+    for r in whole.collect():
+        out[r["slice"]] = np.frombuffer(unpack(bytes(r["counts"]))[0], np.uint8)
     return out.ravel()
 
 
+def _steps(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(255, 4 * np.log2(1 + counts)).astype(np.uint8)
+
+
+def _some(counts: np.ndarray) -> np.ndarray:
+    return (counts > 0).astype(np.uint8)
+
+
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
 
@@ -559,8 +576,7 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
         F.col(id_column).alias("doc_id"),
     )
     texts = numbered.select("row", "text")
-    counts = fixed_table(texts, _frequencies)
-    classes = np.minimum(255, 4 * np.log2(1 + counts)).astype(np.uint8)
+    classes = fixed_table(texts, _frequencies, _steps)
     n_parts = 2 * parts(spark)
     made = staged(
         texts.mapInArrow(
@@ -582,7 +598,7 @@ def _rows_with_components(docs: DataFrame, id_column: str, text_column: str) ->
     stars = stars.groupBy(F.col("xn").alias("x"), F.col("pn").alias("p"), "n")
     stars = staged(_kept(stars.agg(F.max("c").alias("c"))), "stars")
     ends = stars.select("x").unionByName(stars.select(F.col("p").alias("x")))
-    flags = fixed_table(ends, _flags) > 0
+    flags = fixed_table(ends, _flags, _some).view(bool)
     sets = staged(
         texts.mapInArrow(
             _flagged(spark.sparkContext.broadcast(flags)), "node long, shingles binary"
