@@ -7,7 +7,7 @@ from pyspark.sql.types import DoubleType
 
 from paxflow.config import Roles
 from paxflow.operators.calendar import date_features
-from paxflow.operators.lags import history_columns, history_packed
+from paxflow.operators.lags import attach_history, history_columns
 from paxflow.operators.rolling import (
     attach,
     momentum_features,
@@ -45,14 +45,15 @@ def add_features(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """Date features, then lags, rolling, lagged windows and momentum overall and per group,
     then interactions with the seats.
 
-    Every family is computed on narrow rows and joined once, by row id, as one array. The arrays
-    become columns in the last step and date features are made there, so the joins carry and sort
-    rows of few columns. ``df`` is read once per family: give a stored table, not a long plan.
+    Every family is computed on narrow rows and joined once, by row id, as one array; history of few
+    minutes in all is broadcast instead. The arrays become columns in the last step and date features
+    are made there, so the joins carry and sort rows of few columns. ``df`` is read once per family:
+    give a stored table, not a long plan.
     """
     out, groups = df, [[], *[[g] for g in roles.groups]]
     for keys in groups:
-        out = attach(out, history_packed(df, keys, roles), roles)
         out = attach(out, rolling_packed(df, keys, roles=roles), roles)
+    out = attach_history(out, df, groups, roles)
     columns = date_features(df, roles).columns
     unpacked = [c for keys in groups for c in (*history_columns(keys), *rolling_columns(keys))]
     out = date_features(out, roles).selectExpr(*[f"`{c}`" for c in columns], *unpacked)

@@ -203,12 +203,7 @@ def time_frames(
     margin = 2 * max(abs(edge) for pair in windows for edge in pair) + 2
     needed = list(dict.fromkeys([*keys, clock, VALUE, *([WEIGHT] if weighted else [])]))
 
-    def compute(kept: pa.Table, rows: pd.DataFrame, opens: np.ndarray) -> list[pa.RecordBatch]:
-        segment = np.cumsum(opens) - 1
-        time = rows[clock].to_numpy(dtype="int64")
-        elapsed = time - time[opens][segment]
-        # Segments are laid end to end on one clock, far enough apart that no frame spans two.
-        line = segment * (int(elapsed.max()) + margin) + elapsed
+    def compute(kept: pa.Table, rows: pd.DataFrame, line: np.ndarray) -> list[pa.RecordBatch]:
         values = rows[VALUE].astype("float64")
         columns = []
         for low, high in windows:
@@ -225,6 +220,65 @@ def time_frames(
             kept, result = kept.filter(pa.array(once)), result[once]
         return _batches(kept, result)
 
+    return df.mapInArrow(_segments(keys, clock, needed, keep, margin, compute), _schema(df, keep))
+
+
+def time_history(
+    df: DataFrame,
+    keys: list[str],
+    clock: str,
+    keep: list[str],
+    owned: str,
+    lags: list[str],
+    windows: list[tuple[int, int, int]],
+    stats,
+    reach: int,
+) -> DataFrame:
+    """What reaches a row from rows before, for rows sorted by (keys, clock), the clock unique in a key.
+
+    ``lags`` are columns that say when a row's value arrives; of rows that arrive together the latest
+    counts. A window (delay, a, b) is looked up at t-delay, if there is a row, and covers (t-delay+a,
+    t-delay+b]. ``_stats`` holds a value a lag and the statistics of each window, for the rows with
+    ``owned`` that anything reaches. No row arrives more than ``reach`` later.
+    """
+    edges = [abs(edge) for _, *pair in windows for edge in pair]
+    margin = 2 * max([reach, *edges]) + 2
+    needed = list(dict.fromkeys([*keys, clock, VALUE, owned, *lags]))
+    width = len(lags) + len(windows) * len(stats)
+
+    def compute(kept: pa.Table, rows: pd.DataFrame, line: np.ndarray) -> list[pa.RecordBatch]:
+        asks = rows[owned].to_numpy(dtype=bool)
+        at = line[asks]
+        values = rows[VALUE].astype("float64")
+        found, met = np.full((len(at), width), np.nan), np.zeros(len(at), dtype=bool)
+        for i, name in enumerate(lags):
+            arrives = line + rows[name].to_numpy(dtype="int64") - rows[clock].to_numpy(dtype="int64")
+            order = np.argsort(arrives, kind="stable")
+            place = np.searchsorted(arrives[order], at, side="right") - 1
+            source = order[np.maximum(place, 0)]
+            hit = (place >= 0) & (arrives[source] == at)
+            found[hit, i] = values.to_numpy()[source[hit]]
+            met |= hit
+        for i, (delay, low, high) in enumerate(windows):
+            source = np.minimum(np.searchsorted(line, at - delay), len(line) - 1)
+            hit = line[source] == at - delay
+            if not hit.any():
+                continue
+            first = np.searchsorted(line, line + low, side="right")
+            stop = np.maximum(np.searchsorted(line, line + high, side="right"), first)
+            columns = np.column_stack([*_moments(values, first, stop, stats).values()])
+            start = len(lags) + i * len(stats)
+            found[hit, start : start + len(stats)] = columns[source[hit]]
+            met |= hit
+        return _batches(kept.filter(pa.array(asks)).filter(pa.array(met)), found[met])
+
+    return df.mapInArrow(_segments(keys, clock, needed, keep, margin, compute), _schema(df, keep))
+
+
+def _segments(keys: list[str], clock: str, needed: list[str], keep: list[str], margin: int, compute):
+    """A task over rows sorted by (keys, clock) that hands whole runs of equal keys to ``compute``: the kept
+    columns, the needed ones, and the clock with the runs laid end to end, ``margin`` apart."""
+
     def whole_segments(parts: list[pa.Table]) -> Iterable[pa.RecordBatch]:
         table = pa.concat_tables(parts)
         if not table.num_rows:
@@ -237,10 +291,13 @@ def time_frames(
         fit = max(1, _KEY_LIMIT // (longest + margin))
         for at in range(0, len(starts) - 1, fit):
             low, high = int(starts[at]), int(starts[min(at + fit, len(starts) - 1)])
+            # Segments are laid end to end on one clock, far enough apart that no frame spans two.
+            segment = np.cumsum(opens[low:high]) - 1
+            elapsed = time[low:high] - time[low:high][opens[low:high]][segment]
             yield from compute(
                 table.slice(low, high - low).select(keep),
                 rows.iloc[low:high].reset_index(drop=True),
-                opens[low:high],
+                segment * (int(elapsed.max()) + margin) + elapsed,
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -260,7 +317,7 @@ def time_frames(
         if parts:
             yield from whole_segments(parts)
 
-    return df.mapInArrow(run, _schema(df, keep))
+    return run
 
 
 def _same_key(before: pa.Table, after: pa.Table, keys: list[str]) -> bool:
